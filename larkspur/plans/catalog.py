@@ -7,5 +7,6 @@ from larkspur.plans import (  # noqa: F401
     ordering,
     texts,
     vectors,
+    files,
 )
 from larkspur.plans.registry import ORACLES, QUERIES  # noqa: F401
