@@ -179,10 +179,14 @@ def word_polarity(word: Column) -> Column:
     return score.otherwise(2)
 
 
+def _occurrences(values: Column, value: int) -> Column:
+    return F.size(F.filter(values, lambda v: v == value))
+
+
 def polarity_histogram(words: Column) -> Column:
     """Counts of the scores 0 to 4, then the mean score; mean -1 without words."""
     scores = F.transform(words, word_polarity)
-    counts = [F.size(F.filter(scores, lambda s, v=v: s == v)).cast("double") for v in range(5)]
+    counts = [_occurrences(scores, value).cast("double") for value in range(5)]
     total = F.aggregate(scores, F.lit(0), lambda a, s: a + s)
     mean = F.when(F.size(words) == 0, -1.0).otherwise(total / F.size(words))
     return F.array(*counts, mean)

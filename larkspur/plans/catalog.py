@@ -8,5 +8,8 @@ from larkspur.plans import (  # noqa: F401
     texts,
     vectors,
     files,
+    evaluation,
+    features,
+    models,
 )
 from larkspur.plans.registry import ORACLES, QUERIES  # noqa: F401
