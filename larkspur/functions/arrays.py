@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out a single time, however often ``use`` names it."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
+
+
 def negatives_to_zero(values: Column) -> Column:
     """Replace the value -1 by 0 in an array."""
     return F.transform(values, lambda v: F.when(v == -1, 0).otherwise(v))

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from larkspur.functions.arrays import once
+
 # The English stop words of Spark's StopWordsRemover.
 STOP_WORDS = (
     "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself",
@@ -43,7 +46,8 @@ POLARITY_WORDS = {
     3: ("good", "nice", "fresh", "friendly", "tasty", "clean"),
     4: ("best", "great", "excellent", "amazing", "delicious", "perfect"),
 }
-POLARITY_AFFIXES = ((1, r"^(un|non|dis)"), (3, r"(ble|ful|ous)$"))
+POLARITY_PREFIXES = {1: ("un", "non", "dis")}
+POLARITY_SUFFIXES = {3: ("ble", "ful", "ous")}
 
 MARKER = "sentence_start"
 ENTITY, OTHER = "B-OTH", "O"
@@ -92,7 +96,7 @@ def strip_digits(text: Column) -> Column:
 
 def plain_words(text: Column) -> Column:
     """Whitespace tokens in lower case without punctuation and digits; no blanks."""
-    cleaned = strip_digits(F.lower(strip_punctuation(text)))
+    cleaned = F.regexp_replace(F.lower(text), r"[\p{Punct}0-9]", "")
     return F.filter(F.split(cleaned, r"\s"), lambda w: w != "")
 
 
@@ -128,13 +132,13 @@ def sentence_tokens(text: Column) -> Column:
 def token_sentences(tokens: Column) -> Column:
     """Cut a token list at the start markers; the markers and empty parts go.
 
-    Inverse of the flattening in :func:`sentence_tokens`, in one linear pass:
-    tokens hold no white space, so joining and splitting is exact.
+    Undoes the flattening of :func:`sentence_tokens` in one linear pass: tokens
+    hold no white space, so joining and splitting is exact.
     """
-    joined = F.array_join(tokens, "\n")
-    parts = F.split(joined, rf"(?:\A|\n){MARKER}(?=\n|\z)")
-    trimmed = F.transform(parts, lambda p: F.regexp_replace(p, r"\A\n", ""))
-    return F.transform(F.filter(trimmed, lambda p: p != ""), lambda p: F.split(p, "\n"))
+    lines = F.concat(F.lit("\n"), F.array_join(tokens, "\n"), F.lit("\n"))
+    parts = F.split(lines, rf"\n{MARKER}(?=\n)")
+    cut = F.transform(parts, lambda p: F.filter(F.split(p, "\n"), lambda w: w != ""))
+    return F.filter(cut, lambda words: F.size(words) > 0)
 
 
 def pad(values: Column, width: int, filler) -> Column:
@@ -142,8 +146,12 @@ def pad(values: Column, width: int, filler) -> Column:
     return F.slice(F.concat(values, F.array_repeat(F.lit(filler), width)), 1, width)
 
 
+def _any(tests: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
 def _ends_with(word: Column, suffixes: Sequence[str]) -> Column:
-    return word.rlike("(" + "|".join(suffixes) + ")$")
+    return _any(word.endswith(suffix) for suffix in suffixes)
 
 
 def is_noun(word: Column) -> Column:
@@ -164,18 +172,20 @@ SELECTORS = {
 
 def select_words(tokens: Column, kind: str, if_empty: str | None = "na") -> Column:
     """Tokens of one word kind; an empty token list counts as ``[if_empty]``."""
-    chosen = F.filter(tokens, SELECTORS[kind])
     if if_empty is None:
-        return chosen
-    return F.when(F.size(tokens) == 0, F.array(F.lit(if_empty))).otherwise(chosen)
+        return F.filter(tokens, SELECTORS[kind])
+    empty = F.array(F.lit(if_empty))
+    return once(tokens, lambda t: F.when(F.size(t) == 0, empty).otherwise(F.filter(t, SELECTORS[kind])))
 
 
 def word_polarity(word: Column) -> Column:
     score = F.when(F.lit(False), 0)
     for value, words in POLARITY_WORDS.items():
         score = score.when(word.isin(list(words)), value)
-    for value, pattern in POLARITY_AFFIXES:
-        score = score.when(word.rlike(pattern), value)
+    for value, prefixes in POLARITY_PREFIXES.items():
+        score = score.when(_any(word.startswith(prefix) for prefix in prefixes), value)
+    for value, suffixes in POLARITY_SUFFIXES.items():
+        score = score.when(_ends_with(word, suffixes), value)
     return score.otherwise(2)
 
 
@@ -183,19 +193,26 @@ def _occurrences(values: Column, value: int) -> Column:
     return F.size(F.filter(values, lambda v: v == value))
 
 
+def _mean(scores: Column) -> Column:
+    """Mean of the scores, -1 when there are none."""
+    total = F.aggregate(scores, F.lit(0), lambda a, s: a + s)
+    return F.when(F.size(scores) == 0, -1.0).otherwise(total / F.size(scores))
+
+
 def polarity_histogram(words: Column) -> Column:
     """Counts of the scores 0 to 4, then the mean score; mean -1 without words."""
-    scores = F.transform(words, word_polarity)
-    counts = [_occurrences(scores, value).cast("double") for value in range(5)]
-    total = F.aggregate(scores, F.lit(0), lambda a, s: a + s)
-    mean = F.when(F.size(words) == 0, -1.0).otherwise(total / F.size(words))
-    return F.array(*counts, mean)
+
+    def histogram(scores: Column) -> Column:
+        counts = [_occurrences(scores, value).cast("double") for value in range(5)]
+        return F.array(*counts, _mean(scores))
+
+    return once(F.transform(words, word_polarity), histogram)
 
 
 def document_polarity(words: Column) -> Column:
     """Mean word score rounded half up to 0..4; -1 without words."""
-    mean = F.element_at(polarity_histogram(words), -1)
-    return F.when(mean < 0, -1).otherwise(F.floor(mean + 0.5).cast("int"))
+    rounded = lambda mean: F.when(mean < 0, -1).otherwise(F.floor(mean + 0.5).cast("int"))
+    return once(once(F.transform(words, word_polarity), _mean), rounded)
 
 
 def has_entry(word: Column, lexicon: Sequence[str], mode: str = "substring") -> Column:
@@ -205,4 +222,4 @@ def has_entry(word: Column, lexicon: Sequence[str], mode: str = "substring") ->
         return F.lit(False)
     if mode == "exact":
         return word.isin(entries)
-    return word.rlike("|".join(re.escape(entry) for entry in entries))
+    return _any(word.contains(entry) for entry in entries)

@@ -7,7 +7,7 @@ large share of the documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.operators.chunks import with_ordinal
@@ -52,7 +52,7 @@ def unit_length(weights: DataFrame, doc: str) -> DataFrame:
     The terms of one document came from one row, so they fit in one again;
     grouping them once gives the norm without a second shuffle.
     """
-    rows = weights.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("t"))
+    rows = weights.groupBy(doc).agg(F.collect_list(F.struct("term", "weight")).alias("t"))
     norm = F.sqrt(F.aggregate("t", F.lit(0.0), lambda a, e: a + e["weight"] * e["weight"]))
     return rows.withColumn("norm", norm).select(doc, "norm", F.inline("t")).select(
         doc, "term", (F.col("weight") / F.col("norm")).alias("weight")
@@ -79,9 +79,9 @@ def chi2_scores(weights: DataFrame, classes: DataFrame, doc: str, label: str) ->
 
 def k_best(scores: DataFrame, k: int, digits: int = 6) -> DataFrame:
     """The k terms with the highest score as (rank, term, chi2); equal scores by term."""
-    rounded = scores.select("term", F.round("chi2", digits).alias("chi2"))
-    best = rounded.orderBy(F.desc("chi2"), "term").limit(k).withColumn("_less", -F.col("chi2"))
-    return with_ordinal(best, [], ["_less", "term"], "rank").drop("_less")
+    best = scores.select("term", F.round("chi2", digits).alias("chi2")).orderBy(F.desc("chi2"), "term").limit(k)
+    over_k_rows = Window.partitionBy(F.lit(0)).orderBy(F.desc("chi2"), "term")
+    return best.withColumn("rank", F.row_number().over(over_k_rows).cast("bigint"))
 
 
 def min_max_terms(weights: DataFrame, documents: DataFrame, doc: str) -> DataFrame:

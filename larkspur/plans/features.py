@@ -202,7 +202,9 @@ POLARITY_SQL = (
     "CASE "
     + " ".join(f"WHEN w IN {_list_sql(words)} THEN {value}" for value, words in tx.POLARITY_WORDS.items())
     + " "
-    + " ".join(f"WHEN regexp_matches(w, '{pattern}') THEN {value}" for value, pattern in tx.POLARITY_AFFIXES)
+    + " ".join(f"WHEN regexp_matches(w, '^({'|'.join(p)})') THEN {value}" for value, p in tx.POLARITY_PREFIXES.items())
+    + " "
+    + " ".join(f"WHEN regexp_matches(w, '({'|'.join(p)})$') THEN {value}" for value, p in tx.POLARITY_SUFFIXES.items())
     + " ELSE 2 END"
 )
 SCORED_SQL = f"""SELECT review_id, list_transform({_select_sql(ADJ_SQL)}, lambda w: {POLARITY_SQL}) AS s
@@ -243,7 +245,7 @@ def tag_entities(t):
     """Every document as 'word tag' lines, tagged inside its row."""
     tag = lambda w: F.when(tx.has_entry(w, LEXICON), tx.ENTITY).otherwise(tx.OTHER)
     lines = F.transform(tx.sentence_tokens(F.col("text")), lambda w: F.concat_ws(" ", w, tag(w)))
-    return t.read("documents").select("doc_id", F.array_join(lines, "\n").alias("tagged"))
+    return t.documents.select("doc_id", F.array_join(lines, "\n").alias("tagged"))
 
 
 @query("naive_bayes", f"""

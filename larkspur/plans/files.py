@@ -81,7 +81,7 @@ LEXICON_TEST = " OR ".join(f"contains(word, '{entry}')" for entry in LEXICON)
 
 def tagged_tokens(t):
     """(file, doc_id, pos, word, label) of all documents; the file is the source."""
-    tokens = t.read("documents").select(
+    tokens = t.documents.select(
         F.col("source").alias("file"), "doc_id", F.posexplode(tx.sentence_tokens(F.col("text"))).alias("pos", "word")
     )
     label = F.when(tx.has_entry(F.col("word"), LEXICON), tx.ENTITY).otherwise(tx.OTHER)
@@ -207,7 +207,7 @@ def sink_json_runs(t):
     SELECT lang, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY 1""")
 def sink_run_stats(t):
     path = scratch_path(t.spark, "stats")
-    stats = t.read("documents").groupBy("lang").agg(
+    stats = t.documents.groupBy("lang").agg(
         F.count(F.lit(1)).alias("documents"), F.sum("n_chars").alias("chars")
     )
     sink.write_run_stats(stats, path)

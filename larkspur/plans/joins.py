@@ -76,7 +76,7 @@ def join_label_lookup(t):
                    '[0-9]', '', 'g'), '\s')) AS word FROM benchmark) WHERE length(word) >= 6)
     SELECT word, n, EXISTS (SELECT 1 FROM entries WHERE contains(word, entry)) AS tagged FROM counted""")
 def join_substring_exists(t):
-    words = t.read("documents").select(F.explode(plain_words(F.col("text"))).alias("word"))
+    words = t.documents.select(F.explode(plain_words(F.col("text"))).alias("word"))
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     entries = (
         t.read("benchmark").select(F.explode(plain_words(F.col("text"))).alias("entry"))
@@ -140,7 +140,7 @@ def join_positional(t):
 @query("concat_columns", """
     SELECT d.doc_id, d.n_chars, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
 def concat_columns(t):
-    return t.read("documents").select("doc_id", "n_chars").join(t.read("labels"), "doc_id")
+    return t.documents.select("doc_id", "n_chars").join(t.read("labels"), "doc_id")
 
 
 @query("area_price_top", f"""

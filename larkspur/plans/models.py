@@ -280,7 +280,7 @@ def calorie_regression(t):
 @query("token_classifier")
 def token_classifier(t):
     """Entity label of a token from the word and its neighbours; report on held-out documents."""
-    tokens = t.read("documents").select("doc_id", tx.sentence_tokens(F.col("text")).alias("tokens"))
+    tokens = t.documents.select("doc_id", tx.sentence_tokens(F.col("text")).alias("tokens"))
     label = lambda w: F.when(tx.has_entry(w, LEXICON), 1.0).otherwise(0.0)
     parts = split_by_hash(tokens, "doc_id", [90, 10], seed=2018)
     train, test = (

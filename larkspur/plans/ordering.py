@@ -29,7 +29,7 @@ def window_group_transform(t):
     SELECT doc_id, CAST(no - 1 AS INTEGER) AS sentence,
            array_to_string(list_append({PLAIN_SQL.format('s')}, '.'), ' ') AS words FROM parts""")
 def segment_sentences(t):
-    tokens = t.read("documents").select("doc_id", sentence_tokens(F.col("text")).alias("tokens"))
+    tokens = t.documents.select("doc_id", sentence_tokens(F.col("text")).alias("tokens"))
     cut = tokens.select("doc_id", F.posexplode(token_sentences(F.col("tokens"))).alias("sentence", "words"))
     return cut.withColumn("words", F.array_join("words", " "))
 
@@ -89,7 +89,7 @@ WORDS_SQL = f"SELECT DISTINCT unnest({PLAIN_SQL.format('text')}) AS word FROM do
 @query("index_assign", f"""
     SELECT word, row_number() OVER (ORDER BY word) - 1 AS idx FROM ({WORDS_SQL})""")
 def index_assign(t):
-    words = t.read("documents").select(F.explode(plain_words(F.col("text"))).alias("word")).distinct()
+    words = t.documents.select(F.explode(plain_words(F.col("text"))).alias("word")).distinct()
     return with_ordinal(words, [], ["word"]).select("word", (F.col("ordinal") - 1).alias("idx"))
 
 

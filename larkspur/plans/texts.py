@@ -70,17 +70,17 @@ def lower_text(t):
 
 @query("strip_punct", "SELECT doc_id, regexp_replace(text, '[[:punct:]]', '', 'g') AS text FROM documents")
 def strip_punct(t):
-    return t.read("documents").select("doc_id", tx.strip_punctuation(F.col("text")).alias("text"))
+    return t.documents.select("doc_id", tx.strip_punctuation(F.col("text")).alias("text"))
 
 
 @query("strip_digits", "SELECT doc_id, regexp_replace(text, '[0-9]', '', 'g') AS text FROM documents")
 def strip_digits(t):
-    return t.read("documents").select("doc_id", tx.strip_digits(F.col("text")).alias("text"))
+    return t.documents.select("doc_id", tx.strip_digits(F.col("text")).alias("text"))
 
 
 @query("ws_tokens", f"SELECT doc_id, array_to_string({PLAIN_SQL.format('text')}, ' ') AS tokens FROM documents")
 def ws_tokens(t):
-    return t.read("documents").select("doc_id", F.array_join(tx.plain_words(F.col("text")), " ").alias("tokens"))
+    return t.documents.select("doc_id", F.array_join(tx.plain_words(F.col("text")), " ").alias("tokens"))
 
 
 @query("field_extract", """
@@ -88,7 +88,7 @@ def ws_tokens(t):
     FROM conversations""")
 def field_extract(t):
     fields = F.split("text", " ")
-    return t.read("conversations").select(
+    return t.conversations.select(
         "conv_id", "turn", fields[0].alias("first"), F.coalesce(F.get(fields, 1), F.lit("")).alias("second")
     )
 
@@ -125,7 +125,7 @@ MARKED_SQL = f"""array_to_string(list_transform({SENTENCE_SQL}, lambda s:
 
 @query("sentence_tokens", f"SELECT doc_id, {MARKED_SQL} AS tokens FROM documents")
 def sentence_tokens(t):
-    return t.read("documents").select(
+    return t.documents.select(
         "doc_id", F.array_join(tx.sentence_tokens(F.col("text")), " ").alias("tokens")
     )
 
@@ -140,7 +140,7 @@ def path_class(t):
            list_transform(range(0, 52), lambda i: 'PADword'))[1:52], ' ') AS tokens FROM documents""")
 def pad_tokens(t):
     padded = tx.pad(tx.plain_words(F.col("text")), 52, "PADword")
-    return t.read("documents").select("doc_id", F.array_join(padded, " ").alias("tokens"))
+    return t.documents.select("doc_id", F.array_join(padded, " ").alias("tokens"))
 
 
 @query("pad_labels", f"""
@@ -149,7 +149,7 @@ def pad_tokens(t):
            list_transform(range(0, 52), lambda i: 0))[1:52], '') AS labels FROM documents""")
 def pad_labels(t):
     flags = F.transform(tx.plain_words(F.col("text")), lambda w: w.contains("tion").cast("int"))
-    return t.read("documents").select("doc_id", joined(tx.pad(flags, 52, 0), "").alias("labels"))
+    return t.documents.select("doc_id", joined(tx.pad(flags, 52, 0), "").alias("labels"))
 
 
 @query("parse_date", """

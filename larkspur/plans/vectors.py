@@ -56,9 +56,9 @@ def label_encode(t):
     JOIN words ON words.word = d.word""")
 def word_index(t):
     """A dictionary made from the documents, used on the first word of each turn."""
-    words = t.read("documents").select(F.explode(plain_words(F.col("text"))).alias("word")).distinct()
+    words = t.documents.select(F.explode(plain_words(F.col("text"))).alias("word")).distinct()
     index = with_ordinal(words, [], ["word"], "idx")
-    first = t.read("conversations").select("conv_id", "turn", F.lower(F.split("text", " ")[0]).alias("word"))
+    first = t.conversations.select("conv_id", "turn", F.lower(F.split("text", " ")[0]).alias("word"))
     return skew_join(first, index, ["word"])
 
 

@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.session import spread
+
 CLASSES = 10  # food classes in the vector table
 WIDTH = 64  # elements of a vector
 
@@ -91,6 +93,14 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        return spread(self.read("documents"), "doc_id")
+
+    @cached_property
+    def conversations(self) -> DataFrame:
+        return spread(self.read("conversations"), "conv_id", "turn")
+
     @cached_property
     def places(self) -> DataFrame:
         nation, region = self.read("nation"), self.read("region")
@@ -127,9 +137,7 @@ class Tables:
     def reviews(self) -> DataFrame:
         quality, toxic = F.coalesce("quality", F.lit(0)), F.coalesce("toxic", F.lit(1))
         return (
-            self.read("documents")
-            .join(self.read("labels"), "doc_id", "left")
-            .select(
+            self.documents.join(self.read("labels"), "doc_id", "left").select(
                 F.col("doc_id").alias("review_id"),
                 F.col("source").alias("business_id"),
                 "text",
@@ -141,8 +149,7 @@ class Tables:
     @cached_property
     def tips(self) -> DataFrame:
         return (
-            self.read("conversations")
-            .filter(F.col("role") == "user")
+            self.conversations.filter(F.col("role") == "user")
             .select(
                 "conv_id",
                 "turn",

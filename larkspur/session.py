@@ -61,3 +61,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Deal a scan with fewer splits than cores over all cores before heavy work.
+
+    A large input has far more splits than cores and is left alone. Give a bare
+    scan: its splits are known from the files alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *keys)
