@@ -171,7 +171,7 @@ def predict_naive_bayes(
 
 def dense_terms(weights: DataFrame, chosen: DataFrame, documents: DataFrame, doc: str, k: int) -> DataFrame:
     """(doc, features array of length k) for the terms of :func:`k_best`."""
-    placed = skew_join(weights, chosen.select("term", "rank"), ["term"])
+    placed = weights.join(F.broadcast(chosen.select("term", "rank").filter(F.col("rank") <= k)), "term")  # k rows
     rows = placed.groupBy(doc).agg(F.map_from_entries(F.collect_list(F.struct("rank", "weight"))).alias("m"))
     empty = F.create_map().cast("map<bigint,double>")
     filled = documents.select(doc).join(rows, doc, "left").withColumn("m", F.coalesce("m", empty))

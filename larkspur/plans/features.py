@@ -104,10 +104,9 @@ def chi2_k_sweep(t):
     reviews = t.reviews.select("review_id", "stars")
     weights = unit_weights(t)
     chosen = chi2_ranks(t, weights, SWEEP[-1])
-    picked = weights.join(chosen.select("term", "rank"), "term", "left_semi")
-    scaled = materialize(
-        terms.min_max_terms(picked, t.reviews, "review_id").join(chosen.select("term", "rank"), "term"), "scaled"
-    )
+    ranks = F.broadcast(chosen.select("term", "rank"))  # 700 rows
+    picked = weights.join(ranks, "term", "left_semi")
+    scaled = materialize(terms.min_max_terms(picked, t.reviews, "review_id").join(ranks, "term"), "scaled")
     train, _ = split_by_hash(reviews, "review_id", [80, 20], seed=1)
     train = materialize(train, "train")
     blocks = scaled.withColumn("block", F.floor((F.col("rank") - 1) / 100))
@@ -131,7 +130,7 @@ def chi2_k_sweep(t):
     )
     plain = F.array(F.struct(F.lit(None).cast("double").alias("stars"), F.lit(1.0).alias("gain")))
     parts = (
-        blocks.join(gains, "term", "left")
+        blocks.join(F.broadcast(gains), "term", "left")  # 700 rows
         .withColumn("gains", F.concat(F.coalesce("gains", F.array().cast("array<struct<stars:double,gain:double>>")), plain))
         .select("review_id", "block", "weight", F.inline("gains"))
         .groupBy("review_id", "block", F.col("stars").alias("class"))

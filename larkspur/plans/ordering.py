@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from larkspur.functions.arrays import top_scores
+from larkspur.functions.arrays import positional_array, top_scores
 from larkspur.functions.text import phrase_count, plain_words, sentence_tokens, token_sentences
 from larkspur.operators.chunks import with_ordinal
 from larkspur.operators.grouping import keep_first, repeated_rows
@@ -11,6 +11,7 @@ from larkspur.operators.sampling import hash_bucket, oversample, sample_rows, sl
 from larkspur.operators.skew import skew_join
 from larkspur.plans.aggregates import PLAIN_SQL, SENTENCE_SQL
 from larkspur.plans.registry import query
+from larkspur.plans.views import WIDTH
 
 
 @query("window_group_transform", """
@@ -76,11 +77,16 @@ def argmax_category(t):
            name FROM ranked JOIN calories_v c ON c.idx = ranked.idx WHERE rank <= 5""")
 def topk_scores(t):
     """Top five of each row's scores with the name of the position; ranked inside the row."""
-    rows = t.food.select("vec_id", F.posexplode(top_scores(F.col("scores"), 5)).alias("at", "hit"))
-    names = t.calories.select("idx", "name")
+    names = positional_array(t.calories, "idx", "name", WIDTH)
+    scored = t.food.select("vec_id", "scores").withColumn("names", names.scalar())
+    rows = scored.select("vec_id", "names", F.posexplode(top_scores(F.col("scores"), 5)).alias("at", "hit"))
     return rows.select(
-        "vec_id", (F.col("at") + 1).alias("rank"), "hit.idx", F.round("hit.score", 6).alias("score")
-    ).join(names, "idx")
+        "vec_id",
+        (F.col("at") + 1).alias("rank"),
+        "hit.idx",
+        F.round("hit.score", 6).alias("score"),
+        F.get("names", F.col("hit.idx")).alias("name"),
+    )
 
 
 WORDS_SQL = f"SELECT DISTINCT unnest({PLAIN_SQL.format('text')}) AS word FROM documents"

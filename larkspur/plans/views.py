@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.operators.sampling import hash_bucket
 from larkspur.session import spread
 
 CLASSES = 10  # food classes in the vector table
@@ -56,7 +57,9 @@ VIEW_SQL = {
     "food_v": """
         SELECT vec_id, embedding, label + 1 AS class_id, label % 2 AS y3,
                concat('/', CAST(label + 1 AS VARCHAR), '/', CAST(vec_id AS VARCHAR), '.jpg') AS path,
-               CASE vec_id % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'val' ELSE 'train' END AS split,
+               CASE WHEN ('0x' || substr(md5('5' || CAST(vec_id AS VARCHAR)), 1, 8))::UBIGINT % 100 < 10 THEN 'test'
+                    WHEN ('0x' || substr(md5('5' || CAST(vec_id AS VARCHAR)), 1, 8))::UBIGINT % 100 < 20 THEN 'val'
+                    ELSE 'train' END AS split,
                list_transform(embedding, lambda e: CASE WHEN e > 0.1e0 THEN 1
                               WHEN e < -0.1e0 THEN -1 ELSE 0 END) AS y2_raw,
                list_transform(embedding, lambda e: CASE WHEN e > 0.1e0 THEN 1 ELSE 0 END) AS y2,
@@ -204,6 +207,7 @@ class Tables:
     def food(self) -> DataFrame:
         label, vec_id = F.col("label"), F.col("vec_id")
         wide = F.col("embedding").cast("array<double>")
+        bucket = hash_bucket(vec_id, 5)
         return self.read("embeddings").select(
             "vec_id",
             "embedding",
@@ -212,7 +216,7 @@ class Tables:
             F.concat(
                 F.lit("/"), (label + 1).cast("string"), F.lit("/"), vec_id.cast("string"), F.lit(".jpg")
             ).alias("path"),
-            F.when(vec_id % 10 == 0, "test").when(vec_id % 10 == 1, "val").otherwise("train").alias("split"),
+            F.when(bucket < 10, "test").when(bucket < 20, "val").otherwise("train").alias("split"),
             F.transform(wide, lambda e: F.when(e > 0.1, 1).when(e < -0.1, -1).otherwise(0)).alias("y2_raw"),
             F.transform(wide, lambda e: F.when(e > 0.1, 1).otherwise(0)).alias("y2"),
             F.transform(

@@ -31,14 +31,14 @@ def scratch_root(spark: SparkSession) -> str:
 
     A machine-local folder is only used when the session itself is local.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="larkspur-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="larkspur-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
