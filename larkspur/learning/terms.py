@@ -31,7 +31,7 @@ def fit_vocabulary(counts: DataFrame, size: int = 1 << 18) -> DataFrame:
 
 def count_vectorize(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Counts of known terms with their index."""
-    return skew_join(counts, vocabulary.select("term", "idx"), ["term"])
+    return skew_join(counts, vocabulary.select("term", "idx"), ["term"], small_rows=0)
 
 
 def with_idf(counts: DataFrame, documents: DataFrame, smooth: bool) -> DataFrame:
@@ -43,7 +43,7 @@ def with_idf(counts: DataFrame, documents: DataFrame, smooth: bool) -> DataFrame
     total = documents.agg(F.count(F.lit(1))).scalar()
     idf = F.ln((total + 1) / (F.col("df") + 1)) + (1 if smooth else 0)
     weighted = frequency.select("term", idf.alias("idf"))
-    return skew_join(counts, weighted, ["term"]).withColumn("weight", F.col("tf") * F.col("idf")).drop("idf")
+    return skew_join(counts, weighted, ["term"], small_rows=0).withColumn("weight", F.col("tf") * F.col("idf")).drop("idf")
 
 
 def unit_length(weights: DataFrame, doc: str) -> DataFrame:
@@ -93,7 +93,7 @@ def min_max_terms(weights: DataFrame, documents: DataFrame, doc: str) -> DataFra
     low = F.when(F.col("docs") < total, F.least("low", F.lit(0.0))).otherwise(F.col("low"))
     bounds = bounds.select("term", low.alias("low"), F.col("high"))
     scaled = F.coalesce(F.try_divide(F.col("weight") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
-    return skew_join(weights, bounds, ["term"]).select(doc, "term", scaled.alias("weight"))
+    return skew_join(weights, bounds, ["term"], small_rows=0).select(doc, "term", scaled.alias("weight"))
 
 
 def fit_naive_bayes(weights: DataFrame, classes: DataFrame, doc: str, label: str) -> DataFrame:
@@ -136,7 +136,7 @@ def predict_naive_bayes(
     per_term = masses.groupBy("term").agg(
         F.collect_list(F.struct(F.col(label).alias("label"), gain.alias("gain"))).alias("gains")
     )
-    known = skew_join(weights.select(doc, "term", "weight"), per_term, ["term"])
+    known = skew_join(weights.select(doc, "term", "weight"), per_term, ["term"], small_rows=0)
     # the row with a null label carries the plain weight of the document
     every = F.array(F.struct(F.lit(None).cast(masses.schema[label].dataType).alias("label"), F.lit(1.0).alias("gain")))
     sums = (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.skew import skew_join
+from larkspur.session import materialize
 
 
 def lookup_or_fail(rows: DataFrame, table: DataFrame, on: str, value: str) -> DataFrame:
@@ -13,7 +14,7 @@ def lookup_or_fail(rows: DataFrame, table: DataFrame, on: str, value: str) -> Da
     found = table.select(on, F.col(value).alias("_found"), F.lit(True).alias("_hit"))
     miss = F.raise_error(F.concat(F.lit(f"no {value} for {on} "), F.col(on).cast("string")))
     return (
-        skew_join(rows, found, [on], "left")
+        skew_join(rows, found, [on], "left", small_rows=0)
         .withColumn(value, F.when(F.col("_hit"), F.col("_found")).otherwise(miss))
         .drop("_found", "_hit")
     )
@@ -51,4 +52,4 @@ def with_group_values(df: DataFrame, keys: list[str], **aggregates) -> DataFrame
     would bring a whole group into one task.
     """
     per_key = df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in aggregates.items()])
-    return skew_join(df, per_key, keys, "left")
+    return skew_join(df, materialize(per_key, "groups"), keys, "left")

@@ -11,6 +11,8 @@ HOT_ROWS = 2_000_000  # rows of one key that are too many for one task
 MAX_HOT_KEYS = 256  # a key past this many larger ones has under 0.4 % of the rows
 SALTS = 64
 SAMPLE = 0.05
+SMALL_ROWS = 100_000  # a side within both limits is copied to all tasks
+SMALL_BYTES = 32 * 1024 * 1024
 
 
 def heavy_keys(
@@ -33,6 +35,13 @@ def heavy_keys(
     return [tuple(row[c] for c in on) for row in top.collect()]
 
 
+def is_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
+    """Measured: does ``df`` have few rows and few bytes? Stops counting past ``rows``."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
+    return found["n"] <= rows and (found["bytes"] or 0) <= size
+
+
 def _in_keys(on: Sequence[str], keys: list[tuple]) -> Column:
     if len(on) == 1:
         return F.coalesce(F.col(on[0]).isin([k[0] for k in keys]), F.lit(False))
@@ -52,17 +61,22 @@ def skew_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     sample: float = SAMPLE,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Equi join where ``rows`` may have hot keys and ``other`` has few rows per key.
 
-    Rows of a hot key are dealt over ``SALTS`` tasks and the matching rows of
-    ``other`` are copied to each; all other keys join as usual. ``how`` is
+    If ``other`` is measured to be small it is broadcast and ``rows`` are not
+    shuffled at all; ``small_rows=0`` skips the measuring when it is known to
+    be large. Otherwise rows of a hot key are dealt over ``SALTS`` tasks and the
+    matching rows of ``other`` are copied to each; all other keys join as usual. ``how`` is
     inner, left, left_semi or left_anti, which never depend on ``rows`` missing
     from one of the salts.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot do a {how} join")
     on = list(on)
+    if small_rows and is_small(other, small_rows):
+        return rows.join(F.broadcast(other), on, how)
     hot = heavy_keys(rows, on, hot_rows, sample)
     if not hot:
         return rows.join(other, on, how)

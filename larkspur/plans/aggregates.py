@@ -66,7 +66,7 @@ def group_collect_list(t):
     SELECT business_id, CAST(0 AS BIGINT) AS part, string_agg(text, ' ' ORDER BY review_id) AS review_combined
     FROM reviews_v GROUP BY 1""")
 def group_concat_text(t):
-    parts = collect_parts(t.reviews, ["business_id"], ["review_id"], "text")
+    parts = collect_parts(t.review_texts, ["business_id"], ["review_id"], "text")
     return parts.select("business_id", "part", F.array_join("values", " ").alias("review_combined"))
 
 
@@ -182,7 +182,7 @@ def vocab_size(t):
     WHERE contains(b.categories, 'Restaurants')""")
 def row_counts(t):
     restaurants = t.business.filter(F.col("categories").contains("Restaurants")).select("business_id")
-    reviews = t.reviews.groupBy("business_id").agg(F.count(F.lit(1)).alias("n")).join(restaurants, "business_id")
+    reviews = t.review_texts.groupBy("business_id").agg(F.count(F.lit(1)).alias("n")).join(restaurants, "business_id")
     return restaurants.agg(F.count(F.lit(1)).alias("n")).select(F.lit("business").alias("name"), "n").union(
         reviews.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit("reviews"), "n")
     )

@@ -19,7 +19,7 @@ TRAIN_SQL = "('0x' || substr(md5('1' || CAST(review_id AS VARCHAR)), 1, 8))::UBI
 
 def review_counts(t):
     kept = tx.remove_words(tx.gap_tokens(F.col("text")))
-    return terms.term_counts(t.reviews.select("review_id", kept.alias("tokens")), "review_id", "tokens")
+    return terms.term_counts(t.review_texts.select("review_id", kept.alias("tokens")), "review_id", "tokens")
 
 
 def in_train():
@@ -47,7 +47,7 @@ def _idf_sql(expression):
 @query("tfidf_mllib", _idf_sql("ln((n.n + 1.0e0) / (count(*) + 1))") + """
     SELECT review_id, term, round(weight, 6) AS weight FROM weights""")
 def tfidf_mllib(t):
-    weights = terms.with_idf(review_counts(t), t.reviews, smooth=False)
+    weights = terms.with_idf(review_counts(t), t.review_texts, smooth=False)
     return weights.select("review_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -57,7 +57,7 @@ UNIT_SQL = _idf_sql("ln((n.n + 1.0e0) / (count(*) + 1)) + 1") + """,
 
 
 def unit_weights(t):
-    weights = terms.with_idf(review_counts(t), t.reviews, smooth=True)
+    weights = terms.with_idf(review_counts(t), t.review_texts, smooth=True)
     return materialize(terms.unit_length(weights, "review_id"), "tfidf")
 
 
@@ -94,7 +94,29 @@ def chi2_ranks(t, weights, k):
 SWEEP = list(range(100, 701, 100))
 
 
-@query("chi2_k_sweep")
+@query("chi2_k_sweep", CHI2_SQL + f""",
+    ranked AS (SELECT term, row_number() OVER (ORDER BY chi2 DESC, term) AS rank FROM chi QUALIFY rank <= 700),
+    bounds AS (SELECT u.term, rank, CASE WHEN count(*) < (SELECT count(*) FROM reviews_v) THEN least(min(weight), 0)
+               ELSE min(weight) END AS low, max(weight) AS high FROM unit u JOIN ranked r ON r.term = u.term GROUP BY 1, 2),
+    scaled AS (SELECT review_id, u.term, rank, coalesce((weight - low) / nullif(high - low, 0), 0) AS w
+               FROM unit u JOIN bounds b ON b.term = u.term),
+    ks AS (SELECT unnest(range(100, 701, 100)) AS k),
+    train AS (SELECT review_id, stars FROM reviews_v WHERE {TRAIN_SQL}),
+    masses AS (SELECT term, rank, stars, sum(w) AS mass FROM scaled s JOIN train t ON t.review_id = s.review_id
+               GROUP BY 1, 2, 3),
+    prior AS (SELECT stars, ln(count(*) * 1.0e0 / (SELECT count(*) FROM train)) AS prior FROM train GROUP BY 1),
+    totals AS (SELECT k, p.stars, prior, ln(coalesce(sum(mass) FILTER (WHERE rank <= k), 0) + k) AS log_all
+               FROM ks CROSS JOIN prior p LEFT JOIN masses m ON m.stars = p.stars GROUP BY 1, 2, 3),
+    lengths AS (SELECT review_id, k, sum(w) AS w FROM scaled, ks WHERE rank <= k GROUP BY 1, 2),
+    gains AS (SELECT review_id, k, m.stars, sum(w * ln(mass + 1)) AS g
+              FROM scaled s JOIN masses m ON m.term = s.term JOIN ks ON s.rank <= k GROUP BY 1, 2, 3),
+    scored AS (SELECT r.review_id, r.stars, t.k, t.stars AS class,
+                      round(prior + coalesce(g, 0) - coalesce(w, 0) * log_all, 6) AS s
+               FROM reviews_v r CROSS JOIN totals t LEFT JOIN lengths l ON l.review_id = r.review_id AND l.k = t.k
+               LEFT JOIN gains g ON g.review_id = r.review_id AND g.k = t.k AND g.stars = t.stars),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY review_id, k ORDER BY s DESC, class) = 1)
+    SELECT k, CASE WHEN {TRAIN_SQL} THEN 'train' ELSE 'test' END AS part,
+           round(avg(CASE WHEN class = stars THEN 1.0e0 ELSE 0.0e0 END), 6) AS accuracy FROM best GROUP BY 1, 2""")
 def chi2_k_sweep(t):
     """Accuracy of naive Bayes on the best 100, 200, ... 700 scaled terms, train and test.
 
@@ -153,7 +175,9 @@ def chi2_k_sweep(t):
         F.transform(
             "classes",
             lambda c: F.struct(
-                (c["prior"] + upto_block(lambda p: p["class"] == c["stars"]) - weight * c["log_all"]).alias("s"),
+                F.round(
+                    c["prior"] + upto_block(lambda p: p["class"] == c["stars"]) - weight * c["log_all"], 6
+                ).alias("s"),
                 (-c["stars"]).alias("minus"),
             ),
         )
@@ -187,7 +211,7 @@ def _select_sql(test):
            array_to_string({_select_sql(NOUN_SQL + ' OR ' + ADJ_SQL)}, ' ') AS both
     FROM (SELECT review_id, {KEPT_SQL} AS k FROM reviews_v)""")
 def select_pos_tokens(t):
-    kept = t.reviews.select("review_id", tx.remove_words(tx.gap_tokens(F.col("text"))).alias("k"))
+    kept = t.review_texts.select("review_id", tx.remove_words(tx.gap_tokens(F.col("text"))).alias("k"))
     words = lambda kind: F.array_join(tx.select_words(F.col("k"), kind), " ")
     return kept.select(
         "review_id",
@@ -212,7 +236,7 @@ SCORED_SQL = f"""SELECT review_id, list_transform({_select_sql(ADJ_SQL)}, lambda
 
 def adjective_scores(t):
     words = tx.select_words(tx.remove_words(tx.gap_tokens(F.col("text"))), "adjective")
-    return t.reviews.select("review_id", words.alias("words"))
+    return t.review_texts.select("review_id", words.alias("words"))
 
 
 @query("word_sentiment", "SELECT review_id, "

@@ -60,7 +60,7 @@ def scan_geojson(t):
 def scan_text_dir(t):
     """All reviews of a business as text files, in pieces when there are many."""
     path = scratch_path(t.spark, "texts")
-    parts = collect_parts(t.reviews, ["business_id"], ["review_id"], "text")
+    parts = collect_parts(t.review_texts, ["business_id"], ["review_id"], "text")
     content = F.array_join("values", "\n").alias("value")
     parts.select("business_id", "part", content).write.partitionBy("business_id", "part").text(path)
     # the writer ends each text with a line break that is no part of it

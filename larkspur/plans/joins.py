@@ -31,7 +31,7 @@ def join_inner(t):
       ON b.business_id = r.business_id""")
 def join_right(t):
     chosen = t.business.filter(F.col("categories").rlike("Chinese|Italian|Pizza"))
-    reviews = t.reviews.groupBy("business_id").agg(F.count(F.lit(1)).alias("reviews"))
+    reviews = t.review_texts.groupBy("business_id").agg(F.count(F.lit(1)).alias("reviews"))
     return chosen.select("business_id", "categories").join(reviews, "business_id", "right")
 
 

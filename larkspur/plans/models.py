@@ -23,7 +23,7 @@ TOPICS, ROUNDS = 5, 5
 
 
 def _input(t, kind="noun"):
-    return topics.topic_input(t.reviews, "review_id", "text", kind)
+    return topics.topic_input(t.review_texts, "review_id", "text", kind)
 
 
 def _topic_rows(found):
@@ -90,7 +90,14 @@ def _restaurant_reviews(t):
     return skew_join(rows, restaurants, ["business_id"]).drop("business_id")
 
 
-@query("rating_feature_sets")
+SET_NAMES = ("lda", "tfidf", "sentiment", "lda_sentiment", "tfidf_sentiment")
+SETS_SQL = " UNION ALL ".join(f"SELECT '{k}_{s}' AS feature_set" for k in ratings.KINDS for s in SET_NAMES)
+
+
+@query("rating_feature_sets", f"""
+    SELECT feature_set, count(*) AS rows, round(avg(stars), 6) AS mean_label
+    FROM ({SETS_SQL}) CROSS JOIN (SELECT stars FROM reviews_v r JOIN business_v b ON b.business_id = r.business_id
+                                  WHERE contains(categories, 'Restaurants')) GROUP BY 1""")
 def rating_feature_sets(t):
     """Fifteen feature sets written as LIBSVM and counted back: rows and labels of each."""
     reviews = materialize(_restaurant_reviews(t), "reviews")
@@ -297,7 +304,7 @@ def token_classifier(t):
     return pairs
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", "SELECT vec_id, true AS same FROM food_v WHERE split = 'test'")
 def model_roundtrip(t):
     """A saved and loaded pipeline predicts the same."""
     train, test = _food_rows(t)

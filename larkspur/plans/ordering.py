@@ -58,7 +58,7 @@ def argmax_category(t):
     Texts are counted one by one and only the counts are brought together.
     """
     themes = t.business.select("business_id", F.split("themes", ",").alias("themes"))
-    texts = t.reviews.select("business_id", "text").union(t.tips.select("business_id", "text"))
+    texts = t.review_texts.select("business_id", "text").union(t.tips.select("business_id", "text"))
     matched = skew_join(texts, themes, ["business_id"])
     counts = matched.select(
         "business_id",
@@ -125,7 +125,7 @@ def sample_n(t):
         SELECT review_id, ('0x' || substr(md5('1' || CAST(review_id AS VARCHAR)), 1, 8))::UBIGINT % 100 AS b
         FROM reviews_v)""")
 def split_hash(t):
-    train, test = split_by_hash(t.reviews.select("review_id"), "review_id", [80, 20], seed=1)
+    train, test = split_by_hash(t.review_texts.select("review_id"), "review_id", [80, 20], seed=1)
     return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
 
 
@@ -144,7 +144,7 @@ def split_by_list(t):
     """Rows that stand in the train, validation and test lists."""
     rows, lists = t.food.select("vec_id", "path"), t.food.select("path", "split")
     parts = [
-        skew_join(rows, lists.filter(F.col("split") == name).select("path"), ["path"], "left_semi")
+        skew_join(rows, lists.filter(F.col("split") == name).select("path"), ["path"], "left_semi", small_rows=0)
         .withColumn("part", F.lit(name))
         for name in ("train", "val", "test")
     ]

@@ -60,7 +60,7 @@ def confined_labels(t):
     FROM reviews_v""")
 def whole_word_count(t):
     count = lambda phrase: tx.phrase_count(F.col("text"), F.lit(phrase)).cast("bigint")
-    return t.reviews.select("review_id", count("des la").alias("des_la"), count("that").alias("that"))
+    return t.review_texts.select("review_id", count("des la").alias("des_la"), count("that").alias("that"))
 
 
 @query("lower_text", "SELECT item_id, lower(text) AS text FROM benchmark")
@@ -95,7 +95,7 @@ def field_extract(t):
 
 @query("regex_tokens", f"SELECT review_id, array_to_string({WORD_SQL}, ' ') AS tokens FROM reviews_v")
 def regex_tokens(t):
-    return t.reviews.select("review_id", F.array_join(tx.gap_tokens(F.col("text")), " ").alias("tokens"))
+    return t.review_texts.select("review_id", F.array_join(tx.gap_tokens(F.col("text")), " ").alias("tokens"))
 
 
 KEPT_SQL = f"list_filter({WORD_SQL}, lambda w: w NOT IN {STOP_SQL})"
@@ -104,19 +104,19 @@ KEPT_SQL = f"list_filter({WORD_SQL}, lambda w: w NOT IN {STOP_SQL})"
 @query("remove_stopwords", f"SELECT review_id, array_to_string({KEPT_SQL}, ' ') AS tokens FROM reviews_v")
 def remove_stopwords(t):
     tokens = tx.remove_words(tx.gap_tokens(F.col("text")))
-    return t.reviews.select("review_id", F.array_join(tokens, " ").alias("tokens"))
+    return t.review_texts.select("review_id", F.array_join(tokens, " ").alias("tokens"))
 
 
 @query("strip_accents", "SELECT review_id, strip_accents(text) AS text FROM reviews_v")
 def strip_accents(t):
-    return t.reviews.select("review_id", tx.strip_accents(F.col("text")).alias("text"))
+    return t.review_texts.select("review_id", tx.strip_accents(F.col("text")).alias("text"))
 
 
 @query("word_tokens", r"""
     SELECT review_id, array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}'), ' ') AS tokens
     FROM reviews_v""")
 def word_tokens(t):
-    return t.reviews.select("review_id", F.array_join(tx.word_tokens(F.col("text")), " ").alias("tokens"))
+    return t.review_texts.select("review_id", F.array_join(tx.word_tokens(F.col("text")), " ").alias("tokens"))
 
 
 MARKED_SQL = f"""array_to_string(list_transform({SENTENCE_SQL}, lambda s:

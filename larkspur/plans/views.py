@@ -136,17 +136,23 @@ class Tables:
             )
         )
 
+    @cached_property
+    def review_texts(self) -> DataFrame:
+        """Reviews without stars, for work on the text alone: the text is not joined and not shuffled."""
+        return self.documents.select(
+            F.col("doc_id").alias("review_id"), F.col("source").alias("business_id"), "text", "lang"
+        )
+
     @cached_property
     def reviews(self) -> DataFrame:
         quality, toxic = F.coalesce("quality", F.lit(0)), F.coalesce("toxic", F.lit(1))
-        return (
-            self.documents.join(self.read("labels"), "doc_id", "left").select(
-                F.col("doc_id").alias("review_id"),
-                F.col("source").alias("business_id"),
-                "text",
-                "lang",
-                (1 + 2 * quality + 2 * (1 - toxic)).cast("double").alias("stars"),
-            )
+        stars = self.read("labels").select(F.col("doc_id").alias("review_id"), "quality", "toxic")
+        return self.review_texts.join(stars, "review_id", "left").select(
+            "review_id",
+            "business_id",
+            "text",
+            "lang",
+            (1 + 2 * quality + 2 * (1 - toxic)).cast("double").alias("stars"),
         )
 
     @cached_property

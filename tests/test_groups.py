@@ -82,7 +82,7 @@ def test_quantile_of_all_rows_and_of_none(spark, skewed):
 def test_salted_join_equals_plain_join(spark, skewed, how):
     _, df = skewed
     other = spark.createDataFrame([("hot", 1), ("hot", 2), ("a", 3), ("z", 4)], "key string, n int")
-    got = skew.skew_join(df, other, ["key"], how, hot_rows=20, sample=1.0)
+    got = skew.skew_join(df, other, ["key"], how, hot_rows=20, sample=1.0, small_rows=0)
     assert "_salt" in got._jdf.queryExecution().toString()
     key = lambda r: tuple(str(v) for v in r)
     assert sorted(got.collect(), key=key) == sorted(df.join(other, ["key"], how).collect(), key=key)
@@ -92,10 +92,19 @@ def test_heavy_keys_and_composite_keys(skewed):
     _, df = skewed
     two = df.withColumn("k2", F.lit(1))
     assert skew.heavy_keys(two, ["key", "k2"], hot_rows=60, sample=1.0) == [("hot", 1)]
-    joined = skew.skew_join(two, two.groupBy("key", "k2").count(), ["key", "k2"], hot_rows=60, sample=1.0)
+    joined = skew.skew_join(two, two.groupBy("key", "k2").count(), ["key", "k2"], hot_rows=60, sample=1.0, small_rows=0)
     assert joined.count() == 300
 
 
+def test_small_sides_are_measured(spark, skewed):
+    _, df = skewed
+    assert skew.is_small(df) and not skew.is_small(df, rows=299) and not skew.is_small(df, size=100)
+    plan = lambda j: j._jdf.queryExecution().optimizedPlan().toString()
+    keys = df.groupBy("key").count()
+    assert "strategy=broadcast" in plan(skew.skew_join(df, keys, ["key"]))
+    assert "strategy=broadcast" not in plan(skew.skew_join(df, keys, ["key"], small_rows=3))
+
+
 def test_skew_join_refuses_outer_sides_it_cannot_salt(skewed):
     _, df = skewed
     with pytest.raises(ValueError):
