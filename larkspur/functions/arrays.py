@@ -13,6 +13,19 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), lambda v: use(v))[0]
 
 
+def each(df: DataFrame, keep: Sequence[str], array: Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per element of a computed array, with its position if named.
+
+    Like explode, null elements aside. Explode itself makes the optimizer add a
+    filter on the array's size, which works out the array a second time and
+    below any shuffle; the outer form does not.
+    """
+    if position is None:
+        return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+    rows = df.select(*keep, F.posexplode_outer(array).alias(position, name))
+    return rows.filter(F.col(position).isNotNull())
+
+
 def negatives_to_zero(values: Column) -> Column:
     """Replace the value -1 by 0 in an array."""
     return F.transform(values, lambda v: F.when(v == -1, 0).otherwise(v))

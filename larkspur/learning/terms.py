@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.functions.arrays import each
 from larkspur.operators.chunks import with_ordinal
 from larkspur.operators.skew import skew_join
 from larkspur.session import materialize
@@ -17,7 +18,7 @@ from larkspur.session import materialize
 
 def term_counts(df: DataFrame, doc: str, tokens: str) -> DataFrame:
     """(doc, term, tf), written down once because every statistic reads it again."""
-    words = df.select(doc, F.explode(tokens).alias("term"))
+    words = each(df, [doc], F.col(tokens), "term")
     counts = words.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
     return materialize(counts, "terms")
 
@@ -49,14 +50,10 @@ def with_idf(counts: DataFrame, documents: DataFrame, smooth: bool) -> DataFrame
 def unit_length(weights: DataFrame, doc: str) -> DataFrame:
     """Scale each document's weights to length 1.
 
-    The terms of one document came from one row, so they fit in one again;
-    grouping them once gives the norm without a second shuffle.
+    The window is over one document's terms, which came from a single row.
     """
-    rows = weights.groupBy(doc).agg(F.collect_list(F.struct("term", "weight")).alias("t"))
-    norm = F.sqrt(F.aggregate("t", F.lit(0.0), lambda a, e: a + e["weight"] * e["weight"]))
-    return rows.withColumn("norm", norm).select(doc, "norm", F.inline("t")).select(
-        doc, "term", (F.col("weight") / F.col("norm")).alias("weight")
-    )
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(doc)))
+    return weights.select(doc, "term", (F.col("weight") / norm).alias("weight"))
 
 
 def chi2_scores(weights: DataFrame, classes: DataFrame, doc: str, label: str) -> DataFrame:

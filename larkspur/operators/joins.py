@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.functions.arrays import each
 from larkspur.operators.skew import skew_join
 from larkspur.session import materialize
 
@@ -36,9 +37,9 @@ def containing_words(words: DataFrame, word: str, lexicon: DataFrame, entry: str
     pieces = F.flatten(
         F.transform("_lengths", lambda n: F.transform(starts(n), lambda at: F.substring(word, at, n)))
     )
+    measured = distinct.withColumn("_lengths", lengths.scalar())
     return (
-        distinct.withColumn("_lengths", lengths.scalar())
-        .select(word, F.explode(F.array_distinct(pieces)).alias("_piece"))
+        each(measured, [word], F.array_distinct(pieces), "_piece")
         .join(entries, "_piece", "left_semi")
         .select(word)
         .distinct()

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000  # rows of one key that are too many for one task
 MAX_HOT_KEYS = 256  # a key past this many larger ones has under 0.4 % of the rows
-SALTS = 64
 SAMPLE = 0.05
 SMALL_ROWS = 100_000  # a side within both limits is copied to all tasks
 SMALL_BYTES = 32 * 1024 * 1024
@@ -17,8 +20,8 @@ SMALL_BYTES = 32 * 1024 * 1024
 
 def heavy_keys(
     df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, sample: float = SAMPLE
-) -> list[tuple]:
-    """Keys estimated to have more than ``hot_rows`` rows, the largest first.
+) -> dict[tuple, int]:
+    """Keys estimated to have more than ``hot_rows`` rows, with that estimate.
 
     The sample only steers the plan. The join result does not depend on it.
     """
@@ -32,7 +35,7 @@ def heavy_keys(
         .orderBy(F.desc("_n"), *on)
         .limit(MAX_HOT_KEYS)
     )
-    return [tuple(row[c] for c in on) for row in top.collect()]
+    return {tuple(row[c] for c in on): int(row["_n"] / sample) for row in top.collect()}
 
 
 def is_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
@@ -44,14 +47,20 @@ def is_small(df: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) ->
 
 def _in_keys(on: Sequence[str], keys: list[tuple]) -> Column:
     if len(on) == 1:
-        return F.coalesce(F.col(on[0]).isin([k[0] for k in keys]), F.lit(False))
-    hit = F.lit(False)
-    for key in keys:
-        same = F.lit(True)
-        for name, value in zip(on, key):
-            same = same & F.col(name).eqNullSafe(F.lit(value))
-        hit = hit | same
-    return hit
+        return F.col(on[0]).isin([k[0] for k in keys])
+    tests = [reduce(and_, [F.col(c) == F.lit(v) for c, v in zip(on, key)]) for key in keys]
+    return reduce(or_, tests)
+
+
+def _fanout(on: Sequence[str], hot: dict[tuple, int], hot_rows: int) -> Column:
+    """Number of tasks a key is dealt over: a power of two that brings each to ``hot_rows`` rows."""
+    sizes = defaultdict(list)
+    for key, n in hot.items():
+        sizes[1 << max(1, math.ceil(math.log2(n / hot_rows)))].append(key)
+    fanout = F.when(F.lit(False), 1)
+    for size, keys in sizes.items():
+        fanout = fanout.when(_in_keys(on, keys), size)
+    return fanout.otherwise(1)
 
 
 def skew_join(
@@ -67,8 +76,8 @@ def skew_join(
 
     If ``other`` is measured to be small it is broadcast and ``rows`` are not
     shuffled at all; ``small_rows=0`` skips the measuring when it is known to
-    be large. Otherwise rows of a hot key are dealt over ``SALTS`` tasks and the
-    matching rows of ``other`` are copied to each; all other keys join as usual. ``how`` is
+    be large. Otherwise rows of a hot key are dealt over as many
+    tasks as its size asks for and the matching rows of ``other`` are copied to each; all other keys join as usual. ``how`` is
     inner, left, left_semi or left_anti, which never depend on ``rows`` missing
     from one of the salts.
     """
@@ -80,11 +89,9 @@ def skew_join(
     hot = heavy_keys(rows, on, hot_rows, sample)
     if not hot:
         return rows.join(other, on, how)
-    is_hot = _in_keys(on, hot)
+    fanout = _fanout(on, hot, hot_rows)
     spread = [c for c, kind in rows.dtypes if not kind.startswith(("map", "vector"))]
     # the partition number parts even exact copies of a row, and is the same on a retry
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), F.lit(SALTS)).cast("int")
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted = rows.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
-    copied = other.withColumn("_salt", F.explode(copies))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *spread), fanout.cast("bigint")))
+    copied = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), fanout - 1).cast("array<bigint>")))
     return salted.join(copied, [*on, "_salt"], how).drop("_salt")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from larkspur.functions.arrays import picked, positional_array
+from larkspur.functions.arrays import each, picked, positional_array
 from larkspur.functions.text import (
     STOP_WORDS,
     gap_tokens,
@@ -170,7 +170,7 @@ def max_sentence_len(t):
         SELECT unnest(list_filter(regexp_split_to_array(lower(text), '\W'), lambda w: length(w) >= 4)) AS w
         FROM documents)""")
 def vocab_size(t):
-    words = t.documents.select(F.explode(gap_tokens(F.col("text"))).alias("w"))
+    words = each(t.documents, [], gap_tokens(F.col("text")), "w")
     counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(F.count("w").alias("words"), F.sum("n").alias("tokens"))
 
@@ -205,7 +205,7 @@ def count_where(t):
     WHERE word NOT IN {STOP_SQL} GROUP BY 1 ORDER BY n DESC, word LIMIT 200""")
 def term_frequency(t):
     """The 200 most frequent words, as drawn in a word cloud."""
-    words = t.conversations.select(F.explode(remove_words(word_tokens(F.col("text")))).alias("word"))
+    words = each(t.conversations, [], remove_words(word_tokens(F.col("text"))), "word")
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), "word").limit(200)
 
@@ -234,7 +234,7 @@ def listing_histogram(t):
 def histogram_lengths(t):
     """Sentence lengths in five bins."""
     parts = token_sentences(sentence_tokens(F.col("text")))
-    sizes = t.documents.select(F.explode(F.transform(parts, F.size)).alias("size"))
+    sizes = each(t.documents, [], F.transform(parts, F.size), "size")
     bins = histogram(materialize(sizes, "sizes"), "size", 5)
     return bins.select("bin", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"), "n")
 

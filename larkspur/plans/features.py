@@ -58,7 +58,7 @@ UNIT_SQL = _idf_sql("ln((n.n + 1.0e0) / (count(*) + 1)) + 1") + """,
 
 def unit_weights(t):
     weights = terms.with_idf(review_counts(t), t.review_texts, smooth=True)
-    return materialize(terms.unit_length(weights, "review_id"), "tfidf")
+    return terms.unit_length(weights, "review_id")
 
 
 @query("tfidf_l2", UNIT_SQL + " SELECT review_id, term, round(weight, 6) AS weight FROM unit")
@@ -81,7 +81,8 @@ CHI2_SQL = UNIT_SQL + """,
            row_number() OVER (ORDER BY chi2 DESC, term) AS rank FROM chi QUALIFY rank <= 500""")
 def chi2_select(t):
     """The 500 terms that tell the star classes apart best, with prefixed names."""
-    scores = terms.chi2_scores(unit_weights(t), t.reviews.select("review_id", "stars"), "review_id", "stars")
+    weights = materialize(unit_weights(t), "tfidf")
+    scores = terms.chi2_scores(weights, t.reviews.select("review_id", "stars"), "review_id", "stars")
     best = terms.k_best(scores, 500)
     return best.select(F.concat(F.lit("body_"), "term").alias("feature"), F.round("chi2", 4).alias("chi2"), "rank")
 
@@ -124,7 +125,7 @@ def chi2_k_sweep(t):
     and the blocks add up to the score of each size.
     """
     reviews = t.reviews.select("review_id", "stars")
-    weights = unit_weights(t)
+    weights = materialize(unit_weights(t), "tfidf")
     chosen = chi2_ranks(t, weights, SWEEP[-1])
     ranks = F.broadcast(chosen.select("term", "rank"))  # 700 rows
     picked = weights.join(ranks, "term", "left_semi")

@@ -4,7 +4,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
-from larkspur.functions.arrays import joined
+from larkspur.functions.arrays import each, joined
 from larkspur.operators.chunks import with_ordinal
 from larkspur.operators.grouping import collect_parts, keep_first
 from larkspur.plans.aggregates import PLAIN_SQL, SENTENCE_SQL
@@ -81,9 +81,8 @@ LEXICON_TEST = " OR ".join(f"contains(word, '{entry}')" for entry in LEXICON)
 
 def tagged_tokens(t):
     """(file, doc_id, pos, word, label) of all documents; the file is the source."""
-    tokens = t.documents.select(
-        F.col("source").alias("file"), "doc_id", F.posexplode(tx.sentence_tokens(F.col("text"))).alias("pos", "word")
-    )
+    documents = t.documents.withColumnRenamed("source", "file")
+    tokens = each(documents, ["file", "doc_id"], tx.sentence_tokens(F.col("text")), "word", "pos")
     label = F.when(tx.has_entry(F.col("word"), LEXICON), tx.ENTITY).otherwise(tx.OTHER)
     return tokens.withColumn("label", label)
 

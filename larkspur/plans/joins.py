@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from larkspur.functions.arrays import joined, picked, positional_array
+from larkspur.functions.arrays import each, joined, picked, positional_array
 from larkspur.functions.text import gap_tokens, plain_words
 from larkspur.operators.chunks import with_ordinal
 from larkspur.operators.grouping import keep_first
@@ -76,12 +76,9 @@ def join_label_lookup(t):
                    '[0-9]', '', 'g'), '\s')) AS word FROM benchmark) WHERE length(word) >= 6)
     SELECT word, n, EXISTS (SELECT 1 FROM entries WHERE contains(word, entry)) AS tagged FROM counted""")
 def join_substring_exists(t):
-    words = t.documents.select(F.explode(plain_words(F.col("text"))).alias("word"))
+    words = each(t.documents, [], plain_words(F.col("text")), "word")
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    entries = (
-        t.read("benchmark").select(F.explode(plain_words(F.col("text"))).alias("entry"))
-        .filter(F.length("entry") >= 6)
-    )
+    entries = each(t.read("benchmark"), [], plain_words(F.col("text")), "entry").filter(F.length("entry") >= 6)
     hits = containing_words(counted, "word", entries, "entry").withColumn("_hit", F.lit(True))
     return counted.join(hits, "word", "left").select(
         "word", "n", F.coalesce("_hit", F.lit(False)).alias("tagged")
@@ -102,7 +99,7 @@ WORD_SQL = r"list_filter(regexp_split_to_array(lower(text), '\W'), lambda w: len
     FROM ranked r JOIN vocabulary v ON r.word = v.word WHERE r.rank <= 10 GROUP BY 1""")
 def lookup_terms(t):
     """Topic-like rows hold term indices; the vocabulary gives the words back."""
-    words = t.reviews.select("stars", F.explode(gap_tokens(F.col("text"))).alias("word"))
+    words = each(t.reviews, ["stars"], gap_tokens(F.col("text")), "word")
     vocabulary = with_ordinal(words.select("word").distinct(), [], ["word"], "ordinal").select(
         "word", (F.col("ordinal") - 1).alias("idx")
     )

@@ -147,7 +147,7 @@ def regression_summary(t):
 @query("random_forest")
 def random_forest(t):
     """Stars from the 100 best terms, 75 trees; accuracy on both parts."""
-    weights = unit_weights(t)
+    weights = materialize(unit_weights(t), "tfidf")
     chosen = chi2_ranks(t, weights, 100)
     dense = terms.dense_terms(weights, chosen, t.reviews, "review_id", 100)
     rows = dense.join(t.reviews.select("review_id", F.col("stars").alias("label")), "review_id")

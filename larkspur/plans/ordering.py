@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from larkspur.functions.arrays import positional_array, top_scores
+from larkspur.functions.arrays import each, positional_array, top_scores
 from larkspur.functions.text import phrase_count, plain_words, sentence_tokens, token_sentences
 from larkspur.operators.chunks import with_ordinal
 from larkspur.operators.grouping import keep_first, repeated_rows
@@ -30,8 +30,7 @@ def window_group_transform(t):
     SELECT doc_id, CAST(no - 1 AS INTEGER) AS sentence,
            array_to_string(list_append({PLAIN_SQL.format('s')}, '.'), ' ') AS words FROM parts""")
 def segment_sentences(t):
-    tokens = t.documents.select("doc_id", sentence_tokens(F.col("text")).alias("tokens"))
-    cut = tokens.select("doc_id", F.posexplode(token_sentences(F.col("tokens"))).alias("sentence", "words"))
+    cut = each(t.documents, ["doc_id"], token_sentences(sentence_tokens(F.col("text"))), "words", "sentence")
     return cut.withColumn("words", F.array_join("words", " "))
 
 
@@ -95,7 +94,7 @@ WORDS_SQL = f"SELECT DISTINCT unnest({PLAIN_SQL.format('text')}) AS word FROM do
 @query("index_assign", f"""
     SELECT word, row_number() OVER (ORDER BY word) - 1 AS idx FROM ({WORDS_SQL})""")
 def index_assign(t):
-    words = t.documents.select(F.explode(plain_words(F.col("text"))).alias("word")).distinct()
+    words = each(t.documents, [], plain_words(F.col("text")), "word").distinct()
     return with_ordinal(words, [], ["word"]).select("word", (F.col("ordinal") - 1).alias("idx"))
 
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.arrays import (
     concat_vectors,
+    each,
     indicators,
     joined,
     label_vocabulary,
@@ -56,7 +57,7 @@ def label_encode(t):
     JOIN words ON words.word = d.word""")
 def word_index(t):
     """A dictionary made from the documents, used on the first word of each turn."""
-    words = t.documents.select(F.explode(plain_words(F.col("text"))).alias("word")).distinct()
+    words = each(t.documents, [], plain_words(F.col("text")), "word").distinct()
     index = with_ordinal(words, [], ["word"], "idx")
     first = t.conversations.select("conv_id", "turn", F.lower(F.split("text", " ")[0]).alias("word"))
     return skew_join(first, index, ["word"])
