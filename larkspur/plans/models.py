@@ -184,7 +184,7 @@ def binary_relevance(t):
     rows, names = _labelled_reviews(t)
     train, test = split_by_hash(rows, "review_id", [70, 30], seed=1)
     models = {
-        "margin": lambda: LinearSVC(maxIter=20, regParam=0.01),
+        "margin": lambda: LinearSVC(maxIter=8, regParam=0.01),
         "naive_bayes": lambda: NaiveBayes(smoothing=1.0),
         "forest": lambda: RandomForestClassifier(numTrees=75, maxDepth=4, seed=37),
     }
