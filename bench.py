@@ -62,7 +62,8 @@ def main() -> None:
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     total = round(sum(seconds.values()), 3)
     line = {"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds}
-    print(json.dumps({**line, "sf": Path(sf_dir).name.removeprefix("sf")}))
+    scale = Path(sf_dir).name.removeprefix("sf")
+    print(json.dumps({**line, "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale}))
     spark.stop()
 
 
