@@ -65,16 +65,15 @@ class Words:
         places, blank, lowered = _tables()
         data, self.offsets = utf8(texts)
         self.rows = len(texts)
-        if lower:
-            data = lowered[data]
         self.solid = ~blank[data]
+        self.raw = data[self.solid]
         first = np.zeros(len(data) + 1, bool)
         first[self.offsets[:-1]] = True
         first = first[:-1]
         first[1:] |= ~self.solid[:-1]
         first &= self.solid
         self.begins = np.flatnonzero(first)
-        self.bytes = data[self.solid]
+        self.bytes = lowered[self.raw] if lower else self.raw
         self.row = np.searchsorted(self.offsets, self.begins, "right") - 1
         # places of the words' first bytes among the bytes that are no blanks
         self.starts = np.flatnonzero(first[self.solid])
