@@ -10,6 +10,7 @@ is a column expression; the iteration sees at most ``3 ** len(RULES)`` patterns.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.arrays import once
 from larkspur.llm.registry import query, table
 from larkspur.llm.words import BLANKS, UPPER, chars_of, chars_without, words
+from larkspur.session import materialize
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -149,16 +151,18 @@ def fit_votes(patterns: list[tuple[tuple, int]], n_rules: int, rounds: int = ROU
     return model
 
 
-def judge_quality(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus the signals, ``base_failed``, ``posterior`` and ``kept``; a row for each row.
+def judge_quality(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """Columns ``keep`` of ``docs`` (all by default) plus the signals, ``base_failed``, ``posterior`` and ``kept``.
 
+    A row for each row. What is kept and the signals are written down, so that texts are read once.
     A null or empty text has no words and fails the base rule. Repeated rows count
     as often as they occur. An empty table stays empty. Columns of ``docs`` with the
     names of the new ones are replaced.
     """
     names = [f"v{j}" for j in range(len(RULES))]
-    own = [c for c in docs.columns if c not in {*SIGNALS, *names, "base_failed", "posterior", "kept"}]
-    voted = text_signals(docs.select(*own), text).select("*", *votes())
+    own = [c for c in keep or docs.columns if c not in {*SIGNALS, *names, "base_failed", "posterior", "kept"}]
+    signals = text_signals(docs.select(*dict.fromkeys([*own, text])), text)
+    voted = materialize(signals.select(*own, *SIGNALS, *votes()), "signals")
     counted = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).orderBy(*names).collect()
     model = fit_votes([(tuple(r[v] for v in names), r["n"]) for r in counted], len(RULES))
     return voted.select(
@@ -225,6 +229,6 @@ FROM v CROSS JOIN m{ROUNDS}
 def op5_quality_rules(spark, sf_dir):
     """Signals, base rule and the method's verdict for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge_quality(docs).select(
+    return judge_quality(docs, keep=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
