@@ -31,7 +31,7 @@ CHUNK = 1 << 14  # counters sent as one record
 FILTER_BITS = 24  # of the filter that tells which sets to write down
 BLOCK = 1024  # sets of a bucket in one task
 FANOUT = 8  # children of a node
-PASSES = ((0, 4), (4, 64), (64, 1 << 62))  # a set's candidates in a bucket, best first
+PASSES = ((0, 4), (4, 64), (64, 1 << 62))  # candidates of a set in a bucket, about; between passes components grow
 
 
 class Sets:
@@ -364,7 +364,7 @@ def _tree_pairs(shared: DataFrame, signatures: DataFrame, percent: int, first: i
             side, ids, component, n = (group.column(j).to_numpy() for j in (3, 4, 5, 6))
             maps = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column(7)]
             found = pair_bucket(ids, n, component, maps, side.astype(np.int8), percent)
-            some, more = _ranked(found, first, last)
+            some, more = _dealt(found, len(ids), first, last)
             left += more
             out.append(some)
             held += len(some)
@@ -379,14 +379,14 @@ def _tree_pairs(shared: DataFrame, signatures: DataFrame, percent: int, first: i
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _ranked(pairs: np.ndarray, first: int, last: int) -> tuple[np.ndarray, int]:
-    """The pairs of rank ``first`` to ``last`` of each first set, and the number of those beyond."""
-    if not len(pairs):
-        return pairs[:, :2], 0
-    order = np.lexsort((pairs[:, 1], -pairs[:, 2], pairs[:, 0]))
-    pairs = pairs[order]
-    rank = np.arange(len(pairs)) - np.searchsorted(pairs[:, 0], pairs[:, 0], "left")
-    return pairs[(rank >= first) & (rank < last), :2], int((rank >= last).sum())
+def _dealt(pairs: np.ndarray, sets: int, first: int, last: int) -> tuple[np.ndarray, int]:
+    """The pairs of a bucket that this pass takes, and the number that is left to later ones.
+
+    A hash deals the pairs, so that whatever the components are by then, each pair has one pass.
+    """
+    a, b = pairs[:, 0].astype(np.uint64), pairs[:, 1].astype(np.uint64)
+    turn = (mix64(a * np.uint64(0x9E3779B97F4A7C15) + b) % np.uint64(max(1, sets))).astype(np.int64)
+    return pairs[(turn >= first) & (turn < last), :2], int((turn >= last).sum())
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85) -> DataFrame:

@@ -181,7 +181,7 @@ class LanguageModel:
         new = np.ones(len(label), bool)
         new[1:] = (label[1:] != label[:-1]) | (words.row[1:] != words.row[:-1])
         at = np.flatnonzero(new)
-        stop = np.append(at[1:], len(label)) - 1
+        stop = np.append(at[1:], len(label))[: len(at)] - 1
         spans: list[list] = [[] for _ in range(words.rows)]
         ends = words.begin + words.lengths
         for r, s, b, e in zip(words.row[at].tolist(), label[at].tolist(), words.begin[at].tolist(), ends[stop].tolist()):
@@ -202,9 +202,9 @@ def fit_languages(labelled: DataFrame, key: str = "doc_id", text: str = "text",
 
     What reaches the driver is one number for each of the fixed buckets of each language.
     """
-    known = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = known.groupBy(lang).agg(F.count(F.lit(1)).alias("n"))
-    share = F.least(F.lit(1.0), F.lit(float(MAX_PER_LANGUAGE)) / F.col("n"))
+    known = labelled.select(*dict.fromkeys([key, text, lang])).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    sizes = known.groupBy(lang).agg(F.count(F.lit(1)).alias("_texts"))
+    share = F.least(F.lit(1.0), F.lit(float(MAX_PER_LANGUAGE)) / F.col("_texts"))
     # one row for each language
     some = known.join(F.broadcast(sizes), lang).filter(
         F.pmod(F.xxhash64(F.lit(9), key), F.lit(1 << 20)) < F.floor(share * (1 << 20))
