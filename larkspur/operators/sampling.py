@@ -34,7 +34,14 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 
 def slice_rows(df: DataFrame, order: Sequence[str], start: int | None, stop: int | None) -> DataFrame:
-    """Rows by position with the meaning of ``[start:stop]``; negatives count from the end."""
+    """Rows by position with the meaning of ``[start:stop]``; negatives count from the end.
+
+    A slice that begins at the front or ends at the back is an ordered limit; only an inner one numbers all rows.
+    """
+    if not start and stop is not None and stop >= 0:
+        return df.orderBy(*order).limit(stop)
+    if start is not None and start < 0 and stop is None:
+        return df.orderBy(*[F.desc_nulls_last(c) for c in order]).limit(-start)
     numbered = with_ordinal(df, [], order, "_at")
     position = F.col("_at") - 1
     if (start or 0) < 0 or (stop or 0) < 0:

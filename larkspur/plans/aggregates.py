@@ -54,19 +54,22 @@ def group_sum(t):
 
 
 @query("group_collect_list", """
-    SELECT business_id, CAST(0 AS BIGINT) AS part, count(*) AS n,
-           string_agg(text, ' | ' ORDER BY conv_id, turn) AS tips
-    FROM tips_v GROUP BY 1""")
+    SELECT business_id, part, count(*) AS n, string_agg(text, ' | ' ORDER BY conv_id, turn) AS tips
+    FROM (SELECT *, (row_number() OVER (PARTITION BY business_id ORDER BY conv_id, turn) - 1) // 5 AS part FROM tips_v)
+    GROUP BY 1, 2""")
 def group_collect_list(t):
-    parts = collect_parts(t.tips, ["business_id"], ["conv_id", "turn"], "text")
+    """Tips of each business in parts of five."""
+    parts = collect_parts(t.tips, ["business_id"], ["conv_id", "turn"], "text", part_rows=5)
     return parts.select("business_id", "part", "n", F.array_join("values", " | ").alias("tips"))
 
 
 @query("group_concat_text", """
-    SELECT business_id, CAST(0 AS BIGINT) AS part, string_agg(text, ' ' ORDER BY review_id) AS review_combined
-    FROM reviews_v GROUP BY 1""")
+    SELECT business_id, part, string_agg(text, ' ' ORDER BY review_id) AS review_combined
+    FROM (SELECT *, (row_number() OVER (PARTITION BY business_id ORDER BY review_id) - 1) // 8 AS part FROM reviews_v)
+    GROUP BY 1, 2""")
 def group_concat_text(t):
-    parts = collect_parts(t.review_texts, ["business_id"], ["review_id"], "text")
+    """Reviews of each business joined, in parts of eight."""
+    parts = collect_parts(t.review_texts, ["business_id"], ["review_id"], "text", part_rows=8)
     return parts.select("business_id", "part", F.array_join("values", " ").alias("review_combined"))
 
 

@@ -56,16 +56,18 @@ def scan_geojson(t):
 
 
 @query("scan_text_dir", r"""
-    SELECT business_id, string_agg(text, chr(10) ORDER BY review_id) AS content FROM reviews_v GROUP BY 1""")
+    SELECT business_id, CAST(part AS INTEGER) AS part, string_agg(text, chr(10) ORDER BY review_id) AS content
+    FROM (SELECT *, (row_number() OVER (PARTITION BY business_id ORDER BY review_id) - 1) // 8 AS part FROM reviews_v)
+    GROUP BY 1, 2""")
 def scan_text_dir(t):
     """All reviews of a business as text files, in pieces when there are many."""
     path = scratch_path(t.spark, "texts")
-    parts = collect_parts(t.review_texts, ["business_id"], ["review_id"], "text")
+    parts = collect_parts(t.review_texts, ["business_id"], ["review_id"], "text", part_rows=8)
     content = F.array_join("values", "\n").alias("value")
     parts.select("business_id", "part", content).write.partitionBy("business_id", "part").text(path)
     # the writer ends each text with a line break that is no part of it
     return scan.read_text_files(t.spark, path).select(
-        "business_id", F.regexp_replace("content", r"\n\z", "").alias("content")
+        "business_id", F.col("part").cast("int").alias("part"), F.regexp_replace("content", r"\n\z", "").alias("content")
     )
 
 
@@ -94,7 +96,7 @@ def scan_token_labels(t):
     path = scratch_path(t.spark, "tokens")
     sink.write_token_files(tagged_tokens(t), path, "file", ["doc_id", "pos"])
     lines = scan.read_token_labels(t.spark, path)
-    return with_ordinal(lines, ["file"], ["file_name", "pos"], "line").select("file", "line", "word", "label")
+    return with_ordinal(lines, ["file"], ["piece", "chunk", "pos"], "line").select("file", "line", "word", "label")
 
 
 @query("sink_token_files", f"""

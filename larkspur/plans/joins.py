@@ -58,11 +58,15 @@ def join_semi(t):
 
 
 @query("join_label_lookup", """
-    SELECT path, array_to_string(y2, ',') AS labels FROM food_v WHERE split = 'train'""")
+    SELECT l.doc_id, l.quality, array_to_string(y2, ',') AS labels FROM labels l JOIN food_v f ON f.vec_id = l.doc_id
+    WHERE l.doc_id IN (SELECT vec_id FROM food_v)""")
 def join_label_lookup(t):
-    listed = t.food.filter(F.col("split") == "train").select("path")
-    labels = t.food.select("path", joined(F.col("y2")).alias("labels"))
-    return lookup_or_fail(listed, labels, "path", "labels")
+    """Labels of the listed rows; the list is another table, cut to what the food table has, and a miss would fail."""
+    listed = t.read("labels").select(F.col("doc_id").alias("vec_id"), "quality")
+    listed = skew_join(listed, t.food.select("vec_id"), ["vec_id"], "left_semi")
+    labels = t.food.select("vec_id", joined(F.col("y2")).alias("labels"))
+    found = lookup_or_fail(listed, labels, "vec_id", "labels")
+    return found.select(F.col("vec_id").alias("doc_id"), "quality", "labels")
 
 
 @query("join_substring_exists", r"""

@@ -138,16 +138,15 @@ def split_buckets(t):
     return t.read("orders").groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("split_by_list", "SELECT vec_id, path, split AS part FROM food_v")
+@query("split_by_list", """
+    SELECT vec_id, path, CASE WHEN quality = 1 THEN 'train' ELSE 'test' END AS part
+    FROM food_v JOIN (SELECT DISTINCT doc_id, quality FROM labels) ON doc_id = vec_id""")
 def split_by_list(t):
-    """Rows that stand in the train, validation and test lists."""
-    rows, lists = t.food.select("vec_id", "path"), t.food.select("path", "split")
-    parts = [
-        skew_join(rows, lists.filter(F.col("split") == name).select("path"), ["path"], "left_semi", small_rows=0)
-        .withColumn("part", F.lit(name))
-        for name in ("train", "val", "test")
-    ]
-    return parts[0].union(parts[1]).union(parts[2])
+    """Rows that stand in a list with its part; the list is another table, and rows it does not name are left out."""
+    listed = t.read("labels").select(F.col("doc_id").alias("vec_id"), "quality").distinct()
+    part = F.when(F.col("quality") == 1, "train").otherwise("test").alias("part")
+    rows = t.food.select("vec_id", "path")
+    return skew_join(rows, listed.select("vec_id", part), ["vec_id"]).select("vec_id", "path", "part")
 
 
 @query("slice_rows", """

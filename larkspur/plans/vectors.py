@@ -52,15 +52,16 @@ def label_encode(t):
 
 @query("word_index", f"""
     WITH words AS (SELECT word, row_number() OVER (ORDER BY word) AS idx FROM ({WORDS_SQL}))
-    SELECT d.conv_id, d.turn, d.word, words.idx FROM (
-        SELECT conv_id, turn, lower(split_part(text, ' ', 1)) AS word FROM conversations) d
+    SELECT d.conv_id, d.turn, pos, d.word, words.idx FROM (
+        SELECT conv_id, turn, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS word
+        FROM (SELECT conv_id, turn, string_split(lower(text), ' ') AS w FROM conversations)) d
     JOIN words ON words.word = d.word""")
 def word_index(t):
-    """A dictionary made from the documents, used on the first word of each turn."""
+    """A dictionary made from the documents, used on every word of each turn; unknown words are left out."""
     words = each(t.documents, [], plain_words(F.col("text")), "word").distinct()
     index = with_ordinal(words, [], ["word"], "idx")
-    first = t.conversations.select("conv_id", "turn", F.lower(F.split("text", " ")[0]).alias("word"))
-    return skew_join(first, index, ["word"])
+    said = each(t.conversations, ["conv_id", "turn"], F.split(F.lower("text"), " "), "word", "pos")
+    return skew_join(said, index, ["word"]).select("conv_id", "turn", "pos", "word", "idx")
 
 
 @query("vector_concat", """

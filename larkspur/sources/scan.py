@@ -49,8 +49,16 @@ def read_text_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_token_labels(spark: SparkSession, path: str) -> DataFrame:
-    """Files of 'word tag' lines as (folder columns, file_name, pos, word, label)."""
+    """Files of 'word tag' lines as (folder columns, file_name, chunk, pos, word, label).
+
+    ``chunk`` is the number of a file among those of one writing task, from its name;
+    lines are in order of ``piece`` (if there are such folders), ``chunk`` and ``pos``.
+    """
     files = read_text_files(spark, path)
+    chunk = F.coalesce(F.regexp_extract("file_name", r"[.-]c(\d+)\.[a-z.]+$", 1).try_cast("int"), F.lit(0))
+    files = files.withColumn("chunk", chunk)
+    if "piece" in files.columns:
+        files = files.withColumn("piece", F.col("piece").cast("int"))
     names = [c for c in files.columns if c != "content"]
     lines = files.select(*names, F.posexplode(F.split("content", "\n")).alias("pos", "line"))
     fields = F.split(F.trim("line"), " ")

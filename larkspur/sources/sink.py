@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from larkspur.operators.chunks import with_ordinal
 
-SINGLE_FILE_ROWS = 100_000
-
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; array columns become comma-joined text."""
@@ -32,10 +30,9 @@ def write_libsvm(df: DataFrame, path: str, label: str = "label", features: str =
     ).save(path)
 
 
-def write_run_stats(df: DataFrame, path: str) -> None:
-    """Run statistics as one CSV file, or as several if there are too many for one task."""
-    small = df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
-    write_csv(df.coalesce(1) if small else df, path)
+def write_run_stats(df: DataFrame, path: str, single_file: bool = True) -> None:
+    """Run statistics as CSV: one file, written by one task, or one for each task."""
+    write_csv(df.coalesce(1) if single_file else df, path)
 
 
 def write_token_files(
@@ -44,13 +41,15 @@ def write_token_files(
     """'word tag' lines in one folder per input file.
 
     The lines are range-partitioned by file and order, so a long file is
-    written by many tasks, and its pieces sort by name in line order.
+    written by many tasks. Each task's lines are in a folder below the file's named by its number,
+    ``piece``; a task that writes more than ``max_lines`` numbers its files. Both are
+    numbers, not names to sort by: ``read_token_labels`` gives them as ``piece`` and ``chunk``.
     """
     (
         df.repartitionByRange(file, *order)
         .sortWithinPartitions(file, *order)
-        .select(file, F.concat_ws(" ", "word", "label").alias("value"))
-        .write.partitionBy(file)
+        .select(file, F.spark_partition_id().alias("piece"), F.concat_ws(" ", "word", "label").alias("value"))
+        .write.partitionBy(file, "piece")
         .option("maxRecordsPerFile", max_lines)
         .text(path)
     )

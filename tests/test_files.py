@@ -62,12 +62,24 @@ def test_token_files_keep_line_order_over_pieces(spark, tmp_path):
     rows = [("hot", 1, i, f"w{i}", "O") for i in range(500)] + [("b", 1, 0, "salt", "B-OTH")]
     df = spark.createDataFrame(rows, "file string, doc int, pos int, word string, label string").repartition(6)
     sink.write_token_files(df, str(tmp_path / "o"), "file", ["doc", "pos"], max_lines=40)
-    lines = scan.read_token_labels(spark, str(tmp_path / "o")).orderBy("file", "file_name", "pos").collect()
+    lines = scan.read_token_labels(spark, str(tmp_path / "o")).orderBy("file", "piece", "chunk", "pos").collect()
     assert [r["word"] for r in lines if r["file"] == "hot"] == [f"w{i}" for i in range(500)]
     assert [(r["word"], r["label"]) for r in lines if r["file"] == "b"] == [("salt", "B-OTH")]
     assert len({r["file_name"] for r in lines if r["file"] == "hot"}) > 5
 
 
+def test_more_than_a_thousand_files_of_one_task_keep_their_order(spark, tmp_path):
+    rows = [("a", i, f"w{i}", "O") for i in range(1100)]
+    df = spark.createDataFrame(rows, "file string, pos int, word string, label string").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        sink.write_token_files(df, str(tmp_path / "o"), "file", ["pos"], max_lines=1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    lines = scan.read_token_labels(spark, str(tmp_path / "o")).orderBy("piece", "chunk", "pos").collect()
+    assert [r["word"] for r in lines] == [f"w{i}" for i in range(1100)] and lines[-1]["chunk"] == 1099
+
+
 def test_run_parameters_are_typed(spark, tmp_path):
     runs = {"params": [{"runid": "1", "alpha": "1.5", "beta": "1.1", "k": "10", "iterations": "100"}]}
     (tmp_path / "p.json").write_text(json.dumps(runs, indent=1))

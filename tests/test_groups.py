@@ -91,14 +91,38 @@ def test_salted_join_equals_plain_join(spark, skewed, how):
 def test_heavy_keys_and_composite_keys(skewed):
     _, df = skewed
     two = df.withColumn("k2", F.lit(1))
-    hot = skew.heavy_keys(two, ["key", "k2"], hot_rows=60, sample=1.0)
-    assert list(hot) == [("hot", 1)] and 60 < hot[("hot", 1)] < 300
-    near = skew.heavy_keys(two, ["key"], hot_rows=60, sample=0.5)
-    assert set(near) <= {("hot",)}
+    hot = skew.heavy_keys(two, ["key", "k2"], hot_rows=60, sample=1.0).collect()
+    assert [(r["key"], r["k2"]) for r in hot] == [("hot", 1)] and hot[0]["_fanout"] in (2, 4, 8)
+    near = skew.heavy_keys(two, ["key"], hot_rows=60, sample=0.5).collect()
+    assert {r["key"] for r in near} <= {"hot"}
     joined = skew.skew_join(two, two.groupBy("key", "k2").count(), ["key", "k2"], hot_rows=60, sample=1.0, small_rows=0)
     assert joined.count() == 300
 
 
+def test_every_hot_key_is_split(spark):
+    """Six hundred keys that are each too large, and a null key."""
+    df = spark.range(6000).select(F.when(F.col("id") >= 600, F.col("id") % 600).alias("key"), "id")
+    hot = skew.heavy_keys(df, ["key"], hot_rows=4, sample=1.0)
+    assert hot.count() == 600 and hot.filter("_fanout < 2").count() == 0
+    other = spark.range(0, 600, 2).select(F.col("id").alias("key"), F.lit(1).alias("n"))
+    for how in ("left", "left_anti", "inner", "left_semi"):
+        got = skew.skew_join(df, other, ["key"], how, hot_rows=4, sample=1.0, small_rows=0)
+        want = df.join(other, ["key"], how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_null_keys_are_dealt_over_tasks(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("key"), "id")
+    other = spark.range(4000).select(F.col("id").alias("key"), F.lit(1).alias("n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = skew.skew_join(df, other, ["key"], "left", small_rows=0)
+        sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in sizes) == 4000 and max(r["count"] for r in sizes) < 1500
+
+
 def test_small_sides_are_measured(spark, skewed):
     _, df = skewed
     assert skew.is_small(df) and not skew.is_small(df, rows=299) and not skew.is_small(df, size=100)
@@ -114,21 +138,22 @@ def test_skew_join_refuses_outer_sides_it_cannot_salt(skewed):
         skew.skew_join(df, df, ["id"], "right")
 
 
-def test_parts_are_whole_and_bounded(skewed):
+def test_parts_are_whole_and_bounded(spark, skewed):
     rows, df = skewed
+    df = df.withColumn("key", F.when(F.col("key") != "a", F.col("key")))  # a null key is a group too
     want = defaultdict(list)
     for _, key, _, text in rows:
-        want[key].append(text)
+        want[None if key == "a" else key].append(text)
     whole = grouping.collect_parts(df, ["key"], ["id"], "text").collect()
     assert {r["key"]: r["values"] for r in whole} == want
     assert {r["part"] for r in whole} == {0}
-    split = grouping.collect_parts(df, ["key"], ["id"], "text", part_chars=50).collect()
+    split = grouping.collect_parts(df, ["key"], ["id"], "text", part_rows=7).collect()
     again = defaultdict(list)
-    for r in sorted(split, key=lambda r: (r["key"], r["part"])):
-        assert sum(len(v) + 1 for v in r["values"]) <= 50 + 10
+    for r in sorted(split, key=lambda r: (str(r["key"]), r["part"])):
+        assert r["n"] == len(r["values"]) <= 7
         again[r["key"]] += r["values"]
     assert again == want
-    assert len(split) > len(whole)
+    assert len(split) == sum(-(-len(v) // 7) for v in want.values())
 
 
 def test_first_and_repeated_rows(skewed):
