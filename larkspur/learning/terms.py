@@ -7,7 +7,7 @@ large share of the documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.arrays import each
@@ -23,28 +23,31 @@ def term_counts(df: DataFrame, doc: str, tokens: str) -> DataFrame:
     return materialize(counts, "terms")
 
 
-def fit_vocabulary(counts: DataFrame, size: int = 1 << 18) -> DataFrame:
-    """(term, n, df, idx): the ``size`` most frequent terms, numbered from 0."""
+def fit_vocabulary(counts: DataFrame, size: int | None = None) -> DataFrame:
+    """(term, n, df, idx): all terms, or the ``size`` most frequent, numbered from 0 by falling frequency."""
     totals = counts.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
     ranked = with_ordinal(totals.withColumn("_less", -F.col("n")), [], ["_less", "term"], "idx").drop("_less")
-    return ranked.filter(F.col("idx") <= size).withColumn("idx", F.col("idx") - 1)
+    kept = ranked if size is None else ranked.filter(F.col("idx") <= size)
+    return kept.withColumn("idx", F.col("idx") - 1)
 
 
 def count_vectorize(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Counts of known terms with their index."""
-    return skew_join(counts, vocabulary.select("term", "idx"), ["term"], small_rows=0)
+    return skew_join(counts, vocabulary.select("term", "idx"), ["term"])
 
 
-def with_idf(counts: DataFrame, documents: DataFrame, smooth: bool) -> DataFrame:
+def with_idf(counts: DataFrame, documents: DataFrame, smooth: bool, fit: Column | None = None) -> DataFrame:
     """Add ``weight`` = tf * idf.
 
-    ``smooth``: ln((1 + n) / (1 + df)) + 1, else ln((n + 1) / (df + 1)).
+    ``smooth``: ln((1 + n) / (1 + df)) + 1, else ln((n + 1) / (df + 1)). ``fit`` picks
+    the documents that n and df are counted in; terms that none of them has are left out.
     """
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counted, documents = (counts, documents) if fit is None else (counts.filter(fit), documents.filter(fit))
+    frequency = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = documents.agg(F.count(F.lit(1))).scalar()
     idf = F.ln((total + 1) / (F.col("df") + 1)) + (1 if smooth else 0)
     weighted = frequency.select("term", idf.alias("idf"))
-    return skew_join(counts, weighted, ["term"], small_rows=0).withColumn("weight", F.col("tf") * F.col("idf")).drop("idf")
+    return skew_join(counts, weighted, ["term"]).withColumn("weight", F.col("tf") * F.col("idf")).drop("idf")
 
 
 def unit_length(weights: DataFrame, doc: str) -> DataFrame:
@@ -81,16 +84,20 @@ def k_best(scores: DataFrame, k: int, digits: int = 6) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(over_k_rows).cast("bigint"))
 
 
-def min_max_terms(weights: DataFrame, documents: DataFrame, doc: str) -> DataFrame:
-    """Scale each term's weights to [0, 1], absent terms counting as 0; a constant term gives 0."""
+def min_max_terms(weights: DataFrame, documents: DataFrame, doc: str, fit: Column | None = None) -> DataFrame:
+    """Scale each term's weights to [0, 1], absent terms counting as 0; a constant term gives 0.
+
+    ``fit`` picks the documents that give the bounds; others may go beyond 1.
+    """
+    fitted, documents = (weights, documents) if fit is None else (weights.filter(fit), documents.filter(fit))
     total = documents.agg(F.count(F.lit(1))).scalar()
-    bounds = weights.groupBy("term").agg(
+    bounds = fitted.groupBy("term").agg(
         F.min("weight").alias("low"), F.max("weight").alias("high"), F.count(F.lit(1)).alias("docs")
     )
     low = F.when(F.col("docs") < total, F.least("low", F.lit(0.0))).otherwise(F.col("low"))
     bounds = bounds.select("term", low.alias("low"), F.col("high"))
     scaled = F.coalesce(F.try_divide(F.col("weight") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
-    return skew_join(weights, bounds, ["term"], small_rows=0).select(doc, "term", scaled.alias("weight"))
+    return skew_join(weights, bounds, ["term"]).select(doc, "term", scaled.alias("weight"))
 
 
 def fit_naive_bayes(weights: DataFrame, classes: DataFrame, doc: str, label: str) -> DataFrame:
@@ -133,7 +140,7 @@ def predict_naive_bayes(
     per_term = masses.groupBy("term").agg(
         F.collect_list(F.struct(F.col(label).alias("label"), gain.alias("gain"))).alias("gains")
     )
-    known = skew_join(weights.select(doc, "term", "weight"), per_term, ["term"], small_rows=0)
+    known = skew_join(weights.select(doc, "term", "weight"), per_term, ["term"])
     # the row with a null label carries the plain weight of the document
     every = F.array(F.struct(F.lit(None).cast(masses.schema[label].dataType).alias("label"), F.lit(1.0).alias("gain")))
     sums = (

@@ -13,7 +13,7 @@ from larkspur.session import materialize
 
 HOT_ROWS = 2_000_000  # rows of one key that are too many for one task
 SAMPLE = 0.05
-SMALL_ROWS = 100_000  # a side within both limits is copied to all tasks
+SMALL_ROWS = 1_000_000  # a side within both limits is copied to all tasks
 SMALL_BYTES = 32 * 1024 * 1024
 
 

@@ -34,13 +34,13 @@ def in_train():
 def count_vectorize(t):
     """Vocabulary of the training part, used on all reviews."""
     counts = review_counts(t)
-    vocabulary = terms.fit_vocabulary(counts.filter(in_train()))
+    vocabulary = terms.fit_vocabulary(counts.filter(in_train()), 1 << 18)
     return terms.count_vectorize(counts, vocabulary).select("review_id", "term", "idx", "tf")
 
 
-def _idf_sql(expression):
-    return f"""WITH {COUNTS_SQL}, n AS (SELECT count(*) AS n FROM reviews_v),
-    idf AS (SELECT term, {expression} AS idf FROM counts, n GROUP BY term, n.n),
+def _idf_sql(expression, fit="true"):
+    return f"""WITH {COUNTS_SQL}, n AS (SELECT count(*) AS n FROM reviews_v WHERE {fit}),
+    idf AS (SELECT term, {expression} AS idf FROM counts, n WHERE {fit} GROUP BY term, n.n),
     weights AS (SELECT review_id, c.term, tf * idf AS weight FROM counts c JOIN idf ON idf.term = c.term)"""
 
 
@@ -51,13 +51,19 @@ def tfidf_mllib(t):
     return weights.select("review_id", "term", F.round("weight", 6).alias("weight"))
 
 
-UNIT_SQL = _idf_sql("ln((n.n + 1.0e0) / (count(*) + 1)) + 1") + """,
+def _unit_sql(fit="true"):
+    return _idf_sql("ln((n.n + 1.0e0) / (count(*) + 1)) + 1", fit) + """,
     unit AS (SELECT review_id, term, weight / sqrt(sum(weight * weight) OVER (PARTITION BY review_id)) AS weight
              FROM weights)"""
 
 
-def unit_weights(t):
-    weights = terms.with_idf(review_counts(t), t.review_texts, smooth=True)
+UNIT_SQL = _unit_sql()
+
+
+def unit_weights(t, fit_on="all"):
+    """Weights of all reviews; document frequencies from all of them or from the training part."""
+    fit = in_train() if fit_on == "train" else None
+    weights = terms.with_idf(review_counts(t), t.review_texts, smooth=True, fit=fit)
     return terms.unit_length(weights, "review_id")
 
 
@@ -66,16 +72,21 @@ def tfidf_l2(t):
     return unit_weights(t).select("review_id", "term", F.round("weight", 6).alias("weight"))
 
 
-CHI2_SQL = UNIT_SQL + """,
-    share AS (SELECT stars, count(*) * 1.0e0 / (SELECT count(*) FROM reviews_v) AS share FROM reviews_v GROUP BY 1),
-    mass AS (SELECT term, sum(weight) AS mass FROM unit GROUP BY 1),
-    observed AS (SELECT u.term, r.stars, sum(weight) AS o FROM unit u JOIN reviews_v r ON r.review_id = u.review_id
+def _chi2_sql(fit="true"):
+    return _unit_sql(fit) + f""",
+    fitted AS (SELECT * FROM reviews_v WHERE {fit}),
+    share AS (SELECT stars, count(*) * 1.0e0 / (SELECT count(*) FROM fitted) AS share FROM fitted GROUP BY 1),
+    mass AS (SELECT term, sum(weight) AS mass FROM unit WHERE {fit} GROUP BY 1),
+    observed AS (SELECT u.term, r.stars, sum(weight) AS o FROM unit u JOIN fitted r ON r.review_id = u.review_id
                  GROUP BY 1, 2),
     chi AS (SELECT m.term, round(sum((coalesce(o.o, 0) - mass * share) * (coalesce(o.o, 0) - mass * share)
                    / (mass * share)), 6) AS chi2
             FROM mass m CROSS JOIN share s LEFT JOIN observed o ON o.term = m.term AND o.stars = s.stars GROUP BY 1)"""
 
 
+CHI2_SQL = _chi2_sql()
+
+
 @query("chi2_select", CHI2_SQL + """
     SELECT 'body_' || term AS feature, round(chi2, 4) AS chi2,
            row_number() OVER (ORDER BY chi2 DESC, term) AS rank FROM chi QUALIFY rank <= 500""")
@@ -87,18 +98,22 @@ def chi2_select(t):
     return best.select(F.concat(F.lit("body_"), "term").alias("feature"), F.round("chi2", 4).alias("chi2"), "rank")
 
 
-def chi2_ranks(t, weights, k):
-    scores = terms.chi2_scores(weights, t.reviews.select("review_id", "stars"), "review_id", "stars")
+def chi2_ranks(t, weights, k, fit_on="all"):
+    """The ``k`` best terms, by all reviews or by the training part."""
+    classes = t.reviews.select("review_id", "stars")
+    classes = classes.filter(in_train()) if fit_on == "train" else classes
+    scores = terms.chi2_scores(weights, classes, "review_id", "stars")
     return materialize(terms.k_best(scores, k), "ranks")
 
 
 SWEEP = list(range(100, 701, 100))
 
 
-@query("chi2_k_sweep", CHI2_SQL + f""",
+@query("chi2_k_sweep", _chi2_sql(TRAIN_SQL) + f""",
     ranked AS (SELECT term, row_number() OVER (ORDER BY chi2 DESC, term) AS rank FROM chi QUALIFY rank <= 700),
-    bounds AS (SELECT u.term, rank, CASE WHEN count(*) < (SELECT count(*) FROM reviews_v) THEN least(min(weight), 0)
-               ELSE min(weight) END AS low, max(weight) AS high FROM unit u JOIN ranked r ON r.term = u.term GROUP BY 1, 2),
+    bounds AS (SELECT u.term, rank, CASE WHEN count(*) < (SELECT count(*) FROM fitted) THEN least(min(weight), 0)
+               ELSE min(weight) END AS low, max(weight) AS high FROM unit u JOIN ranked r ON r.term = u.term
+               WHERE {TRAIN_SQL} GROUP BY 1, 2),
     scaled AS (SELECT review_id, u.term, rank, coalesce((weight - low) / nullif(high - low, 0), 0) AS w
                FROM unit u JOIN bounds b ON b.term = u.term),
     ks AS (SELECT unnest(range(100, 701, 100)) AS k),
@@ -121,15 +136,17 @@ SWEEP = list(range(100, 701, 100))
 def chi2_k_sweep(t):
     """Accuracy of naive Bayes on the best 100, 200, ... 700 scaled terms, train and test.
 
+    Document frequencies, choice and scaling are those of the training part.
+
     One pass serves all sizes: a term's gain goes to its rank's block of 100,
     and the blocks add up to the score of each size.
     """
     reviews = t.reviews.select("review_id", "stars")
-    weights = materialize(unit_weights(t), "tfidf")
-    chosen = chi2_ranks(t, weights, SWEEP[-1])
+    weights = materialize(unit_weights(t, "train"), "tfidf")
+    chosen = chi2_ranks(t, weights, SWEEP[-1], "train")
     ranks = F.broadcast(chosen.select("term", "rank"))  # 700 rows
     picked = weights.join(ranks, "term", "left_semi")
-    scaled = materialize(terms.min_max_terms(picked, t.reviews, "review_id").join(ranks, "term"), "scaled")
+    scaled = materialize(terms.min_max_terms(picked, t.reviews, "review_id", in_train()).join(ranks, "term"), "scaled")
     train, _ = split_by_hash(reviews, "review_id", [80, 20], seed=1)
     train = materialize(train, "train")
     blocks = scaled.withColumn("block", F.floor((F.col("rank") - 1) / 100))

@@ -2,24 +2,29 @@
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, NaiveBayes, RandomForestClassifier
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
-from larkspur.functions.arrays import concat_vectors, indicators, label_vocabulary, one_hot, positional_array
+from larkspur.functions.arrays import concat_vectors, indicators, joined, label_vocabulary, one_hot, positional_array
 from larkspur.learning import heads, metrics, ratings, terms, topics
 from larkspur.operators.sampling import split_by_hash
 from larkspur.operators.skew import skew_join
 from larkspur.plans.evaluation import _rounded
-from larkspur.plans.features import chi2_ranks, review_counts, unit_weights
+from larkspur.plans.features import chi2_ranks, unit_weights
 from larkspur.plans.files import LEXICON
 from larkspur.plans.registry import query
 from larkspur.plans.views import CLASSES, WIDTH
 from larkspur.session import materialize, scratch_path
 from larkspur.sources import scan, sink
 
-TOPICS, ROUNDS = 5, 5
+ROUNDS = 100
+TOPIC_SETTINGS = {"em": (20, 3.0, 1.1, ROUNDS, "em"), "online": (10, 0.1, 0.1, ROUNDS, "online")}  # k, alpha, beta
+MARGIN_ROUNDS = 100
+FOREST_DEPTH = 10
+FOREST_TERMS = 500
 
 
 def _input(t, kind="noun"):
@@ -34,50 +39,56 @@ def _topic_rows(found):
 @query("lda_em_topics")
 def lda_em_topics(t):
     data = _input(t)
-    model = topics.fit_topics(data.train, TOPICS, 3.0, 1.1, ROUNDS, "em")
+    model = topics.fit_topics(data.train, *TOPIC_SETTINGS["em"])
     return _topic_rows(topics.topic_terms(model, data.vocabulary))
 
 
 @query("lda_online_topics")
 def lda_online_topics(t):
     data = _input(t)
-    model = topics.fit_topics(data.train, TOPICS, 0.1, 0.1, ROUNDS, "online")
+    model = topics.fit_topics(data.train, *TOPIC_SETTINGS["online"])
     return _topic_rows(topics.topic_terms(model, data.vocabulary))
 
 
 @query("lda_doc_topics")
 def lda_doc_topics(t):
-    """Topic shares of every review, training and test part."""
+    """Topic shares of every review, training and test part, by both optimizers."""
     data = _input(t)
-    model = topics.fit_topics(data.train, TOPICS, 0.1, 0.1, ROUNDS, "online")
-    both = model.transform(data.train.union(data.test))
-    share = F.posexplode(heads.vector_to_array("topicDistribution")).alias("topic", "share")
-    return both.select("review_id", share)
+    both = data.train.union(data.test)
+    found = None
+    for name, settings in TOPIC_SETTINGS.items():
+        model = topics.fit_topics(data.train, *settings)
+        share = F.posexplode(heads.vector_to_array("topicDistribution")).alias("topic", "share")
+        rows = model.transform(both).select(F.lit(name).alias("optimizer"), "review_id", share)
+        found = rows if found is None else found.union(rows)
+    return found
 
 
 @query("lda_metrics")
 def lda_metrics(t):
     data = _input(t)
-    model = topics.fit_topics(data.train, TOPICS, 0.1, 0.1, ROUNDS, "online")
-    stats = topics.topic_stats(model, data)
-    return t.spark.createDataFrame(list(stats.items()), "measure string, value double")
+    rows = []
+    for name, settings in TOPIC_SETTINGS.items():
+        stats = topics.topic_stats(topics.fit_topics(data.train, *settings), data)
+        rows += [(name, measure, value) for measure, value in stats.items()]
+    return t.spark.createDataFrame(rows, "optimizer string, measure string, value double")
 
 
 @query("lda_param_runs")
 def lda_param_runs(t):
-    """One run per region: parameters from a file of nested text values, statistics per run."""
+    """One run per region, by either optimizer in turn: parameters from a file of nested text values, statistics per run."""
     regions = t.read("region").select(
         F.col("r_regionkey").alias("runid"),
         F.lit(0.1).alias("alpha"),
         ((F.col("r_regionkey") + 1) / F.lit(10.0)).alias("beta"),
         (F.col("r_regionkey") + 2).alias("k"),
-        F.lit(2).alias("iterations"),
+        F.lit(ROUNDS).alias("iterations"),
     )
     path = scratch_path(t.spark, "params")
     item = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in regions.columns]))
     sink.write_bundles(regions, path, ["runid"], "params", item)
     params = scan.read_run_params(t.spark, path, multi_line=False)
-    stats, found = topics.parameter_runs(_input(t), params, "online")
+    stats, found = topics.parameter_runs(_input(t), params, ["online", "em"])
     stats_path, topic_path = scratch_path(t.spark, "stats"), scratch_path(t.spark, "topics")
     sink.write_run_stats(stats, stats_path)
     sink.write_json_runs(found, topic_path)
@@ -103,9 +114,7 @@ def rating_feature_sets(t):
     reviews = materialize(_restaurant_reviews(t), "reviews")
     counted = None
     for kind in ratings.KINDS:
-        sets = ratings.rating_features(
-            reviews, "review_id", "text", "stars", kind, k=TOPICS, iterations=2, optimizer="em"
-        )
+        sets = ratings.rating_features(reviews, "review_id", "text", "stars", kind)
         for part, rows in sets.items():
             name = f"{kind}_{part}"
             path = scratch_path(t.spark, name)
@@ -129,31 +138,29 @@ def rating_regression(t):
 
 @query("regression_summary")
 def regression_summary(t):
-    """One row of statistics for each of the five feature sets of the nouns."""
+    """One row of statistics for each of the fifteen feature sets."""
     reviews = materialize(_restaurant_reviews(t), "reviews")
-    sets = ratings.rating_features(
-        reviews, "review_id", "text", "stars", "noun", k=TOPICS, iterations=2, optimizer="em"
-    )
     found = None
-    for name, rows in sets.items():
-        train, test = split_by_hash(materialize(rows, name), "review_id", [80, 20], seed=1)
-        summary = ratings.rating_summary(ratings.fit_rating(train), train, test)
-        used = F.size(F.filter("coefficients", lambda c: c != 0)).alias("used_features")
-        summary = summary.select(F.lit(name).alias("feature_set"), F.lit("noun").alias("words"), used, "*")
-        found = summary if found is None else found.union(summary)
+    for kind in ratings.KINDS:
+        for name, rows in ratings.rating_features(reviews, "review_id", "text", "stars", kind).items():
+            train, test = split_by_hash(materialize(rows, name), "review_id", [80, 20], seed=1)
+            summary = ratings.rating_summary(ratings.fit_rating(train), train, test)
+            used = F.size(F.filter("coefficients", lambda c: c != 0)).alias("used_features")
+            summary = summary.select(F.lit(name).alias("feature_set"), F.lit(kind).alias("words"), used, "*")
+            found = summary if found is None else found.union(summary)
     return found.drop("coefficients")
 
 
 @query("random_forest")
 def random_forest(t):
-    """Stars from the 100 best terms, 75 trees; accuracy on both parts."""
-    weights = materialize(unit_weights(t), "tfidf")
-    chosen = chi2_ranks(t, weights, 100)
-    dense = terms.dense_terms(weights, chosen, t.reviews, "review_id", 100)
+    """Stars from the best terms, chosen and weighed on the training part, 75 trees; accuracy on both parts."""
+    weights = materialize(unit_weights(t, "train"), "tfidf")
+    chosen = chi2_ranks(t, weights, FOREST_TERMS, "train")
+    dense = terms.dense_terms(weights, chosen, t.reviews, "review_id", FOREST_TERMS)
     rows = dense.join(t.reviews.select("review_id", F.col("stars").alias("label")), "review_id")
     rows = materialize(rows.withColumn("features", array_to_vector("features")), "rows")
     train, test = split_by_hash(rows, "review_id", [80, 20], seed=1)
-    model = RandomForestClassifier(numTrees=75, maxDepth=5, seed=37).fit(train)
+    model = RandomForestClassifier(numTrees=75, maxDepth=FOREST_DEPTH, seed=37).fit(train)
     scores = [
         metrics.accuracy(model.transform(part), "label", "prediction").select(F.lit(name).alias("part"), "accuracy")
         for name, part in (("train", train), ("test", test))
@@ -162,35 +169,40 @@ def random_forest(t):
 
 
 def _labelled_reviews(t):
-    """Reviews with the label indicators of their business and counts of the 200 most frequent terms."""
+    """Reviews with the label indicators of their business, counts of all terms of the training part, and of its most frequent."""
     named = t.business.na.drop(subset=["categories"]).select(
         "business_id", tx.split_trim(F.col("categories")).alias("labels")
     )
     vocabulary = label_vocabulary(named, "labels")
     names = vocabulary.first()["vocabulary"]
     flags = named.select("business_id", indicators(F.col("labels"), F.array(*map(F.lit, names))).alias("y"))
-    reviews = skew_join(t.reviews.select("review_id", "business_id"), flags, ["business_id"])
-    counts = review_counts(t)
-    ranks = terms.fit_vocabulary(counts, 200).select("term", (F.col("idx") + 1).alias("rank"))
-    weights = counts.select("review_id", "term", F.col("tf").cast("double").alias("weight"))
-    dense = terms.dense_terms(weights, ranks, reviews, "review_id", 200)
-    rows = reviews.join(dense, "review_id").select("review_id", "y", array_to_vector("features").alias("features"))
-    return materialize(rows, "labelled"), names
+    texts = t.reviews.select("review_id", "business_id", "text").na.fill("", ["text"])
+    kept = tx.remove_words(tx.gap_tokens(F.col("text")))
+    rows = skew_join(texts, flags, ["business_id"]).select("review_id", "y", kept.alias("words"))
+    rows = materialize(rows, "words")
+    train, _ = split_by_hash(rows, "review_id", [70, 30], seed=1)
+    counted = CountVectorizer(inputCol="words", outputCol="features").fit(train)
+    few = CountVectorizer(inputCol="words", outputCol="frequent", vocabSize=FOREST_TERMS).fit(train)
+    return materialize(few.transform(counted.transform(rows)).drop("words"), "labelled"), names
 
 
 @query("binary_relevance")
 def binary_relevance(t):
-    """Labels of the business from the review's words: three kinds of binary models, 70/30 split."""
+    """Labels of the business from the review's words: three kinds of binary models, 70/30 split.
+
+    Margin models and naive Bayes see all terms; the forest, whose training holds each feature of each row, the most frequent.
+    """
     rows, names = _labelled_reviews(t)
-    train, test = split_by_hash(rows, "review_id", [70, 30], seed=1)
     models = {
-        "margin": lambda: LinearSVC(maxIter=8, regParam=0.01),
+        "margin": lambda: LinearSVC(maxIter=MARGIN_ROUNDS, tol=0.001, regParam=0.01),
         "naive_bayes": lambda: NaiveBayes(smoothing=1.0),
-        "forest": lambda: RandomForestClassifier(numTrees=75, maxDepth=4, seed=37),
+        "forest": lambda: RandomForestClassifier(numTrees=75, maxDepth=FOREST_DEPTH, seed=37),
     }
     places = lambda c: F.filter(F.sequence(F.lit(1), F.size(c)), lambda i: F.element_at(c, i) == 1)
     found = None
     for name, estimator in models.items():
+        vectors = F.col("frequent" if name == "forest" else "features").alias("features")
+        train, test = split_by_hash(rows.select("review_id", "y", vectors), "review_id", [70, 30], seed=1)
         predicted = heads.binary_relevance(train, test, "y", len(names), estimator)
         sets = predicted.select(places("y").alias("a"), places("predicted").alias("p"))
         scores = metrics.multilabel_scores(sets, "a", "p").select(F.lit(name).alias("model"), "*")
@@ -199,11 +211,7 @@ def binary_relevance(t):
 
 
 def _food_rows(t):
-    """Vectors with their labels; Y2 goes to eight groups of neighbouring positions."""
-    groups = F.transform(
-        F.sequence(F.lit(0), F.lit(7)),
-        lambda g: F.array_max(F.slice("y2", g * (WIDTH // 8) + 1, WIDTH // 8)),
-    )
+    """Vectors with their labels: class, every position of Y2, vegan flag and mean calories."""
     total = F.aggregate(
         F.zip_with("y2", "reference", lambda y, c: (y * c).cast("double")), F.lit(0.0), lambda a, v: a + v
     )
@@ -213,8 +221,6 @@ def _food_rows(t):
         "split",
         (F.col("class_id") - 1).cast("double").alias("food"),
         F.col("y3").cast("double").alias("vegan"),
-        groups.alias("groups"),
-        groups[0].cast("double").alias("group0"),
         "y2",
         one_hot(F.col("class_id"), CLASSES).alias("y1"),
         F.coalesce(F.try_divide(total, F.aggregate("y2", F.lit(0), lambda a, v: a + v)), F.lit(0.0)).alias("calories"),
@@ -231,11 +237,15 @@ def class_softmax(t):
     return _rounded(metrics.class_report(model.transform(test), "food", "food_pred"))
 
 
+def _label_head():
+    return heads.LogisticRegression(maxIter=100, regParam=0.001)
+
+
 @query("multilabel_logit")
 def multilabel_logit(t):
     train, test = _food_rows(t)
-    predicted = heads.binary_relevance(train, test, "groups", 8, lambda: heads.LogisticRegression(maxIter=30))
-    return _rounded(metrics.label_report(predicted, "groups", "predicted"))
+    predicted = heads.binary_relevance(train, test, "y2", WIDTH, _label_head)
+    return _rounded(metrics.label_report(predicted, "y2", "predicted"))
 
 
 @query("binary_logit")
@@ -248,20 +258,19 @@ def binary_logit(t):
 
 @query("parallel_heads")
 def parallel_heads(t):
-    """Food class, first ingredient group and vegan flag side by side on one vector."""
+    """Food class, every ingredient and vegan flag side by side on one vector."""
     train, test = _food_rows(t)
-    names = {"food": "food", "group": "group0", "vegan": "vegan"}
-    predicted = heads.parallel_heads(names).fit(train).transform(test)
-    return predicted.select("vec_id", *[F.col(f"{h}_pred") for h in names])
+    labelled = heads.binary_relevance(train, test, "y2", WIDTH, _label_head)
+    predicted = heads.parallel_heads({"food": "food", "vegan": "vegan"}).fit(train).transform(labelled)
+    return predicted.select("vec_id", "food_pred", joined(F.col("predicted")).alias("labels_pred"), "vegan_pred")
 
 
 @query("stacked_heads")
 def stacked_heads(t):
-    """Food class first; its scores help the ingredient group, whose scores help the vegan flag."""
+    """Food class first; its scores help every ingredient, whose scores help the vegan flag."""
     train, test = _food_rows(t)
-    chain = [("food", "food"), ("group", "group0"), ("vegan", "vegan")]
-    predicted = heads.stacked_heads(chain).fit(train).transform(test)
-    return predicted.select("vec_id", *[F.col(f"{h}_pred") for h, _ in chain])
+    predicted = heads.stacked_heads(train, test, "food", "y2", WIDTH, "vegan", _label_head)
+    return predicted.select("vec_id", "first_pred", joined(F.col("predicted")).alias("labels_pred"), "last_pred")
 
 
 @query("calorie_regression")
@@ -275,7 +284,7 @@ def calorie_regression(t):
         fit_rows, test_rows = (p.select("calories", features) for p in (train, test))
         for kind, model in (
             ("linear", LinearRegression(labelCol="calories", maxIter=100, regParam=0.01)),
-            ("trees", GBTRegressor(labelCol="calories", maxIter=10, maxDepth=4, seed=37)),
+            ("trees", GBTRegressor(labelCol="calories", maxIter=50, maxDepth=5, seed=37)),
         ):
             predicted = model.fit(fit_rows).transform(test_rows)
             scores = metrics.regression_scores(predicted, "calories", "prediction")
