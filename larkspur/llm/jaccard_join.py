@@ -31,6 +31,7 @@ CHUNK = 1 << 14  # counters sent as one record
 FILTER_BITS = 24  # of the filter that tells which sets to write down
 BLOCK = 1024  # sets of a bucket in one task
 FANOUT = 8  # children of a node
+SPARSE = 32  # candidates of a set in a bucket, on average, that need no passes
 PASSES = ((0, 4), (4, 64), (64, 1 << 62))  # candidates of a set in a bucket, about; between passes components grow
 
 
@@ -382,8 +383,11 @@ def _tree_pairs(shared: DataFrame, signatures: DataFrame, percent: int, first: i
 def _dealt(pairs: np.ndarray, sets: int, first: int, last: int) -> tuple[np.ndarray, int]:
     """The pairs of a bucket that this pass takes, and the number that is left to later ones.
 
-    A hash deals the pairs, so that whatever the components are by then, each pair has one pass.
+    A bucket with few pairs for its sets gives them all at once. Of others a hash deals the
+    pairs, so that whatever the components are by then, none is passed over.
     """
+    if len(pairs) <= SPARSE * sets:
+        return pairs[:, :2], 0
     a, b = pairs[:, 0].astype(np.uint64), pairs[:, 1].astype(np.uint64)
     turn = (mix64(a * np.uint64(0x9E3779B97F4A7C15) + b) % np.uint64(max(1, sets))).astype(np.int64)
     return pairs[(turn >= first) & (turn < last), :2], int((turn >= last).sum())
@@ -426,8 +430,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         found = materialize(_tree_pairs(known, signatures, percent, first, last), "candidates")
         pairs = found.filter("a >= 0").distinct()
         if found.filter("a >= 0").limit(1).count():
-            links = links.union(_verified(pairs, docs, text, size, percent, signatures))
-            nodes = components(links)
+            more = _verified(pairs, docs, text, size, percent, signatures)
+            if not more.isEmpty():
+                links = links.union(more)
+                nodes = components(links)
         if not found.filter("a < 0").limit(1).count():
             break
 

@@ -292,6 +292,7 @@ def test_components_of_odd_texts(spark):
 def test_components_are_whole(spark, monkeypatch, seed, block):
     """Also with buckets over many blocks, and candidates in several passes."""
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "SPARSE", 1 if block < 100 else 32)
     monkeypatch.setattr(jaccard_join, "PASSES", ((0, 1), (1, 3), (3, 1 << 62)))
     rows = near_copies(160, seed)
     got = jaccard_join.near_duplicates(odd_docs(spark, rows)).collect()
