@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,11 +30,12 @@ from larkspur.session import materialize
 WINDOW = 1024  # tokens of a sequence
 ROUND = 64 * WINDOW  # tokens that a round of the queues hands out
 END_ID = 0  # closes every document
-KNOWN_PIECES = 300_000  # pieces of text whose ids a worker remembers
+KNOWN_PIECES = 800_000  # pieces of text whose ids a worker remembers
+SLICE_BYTES = 1 << 20
 
-# White space that is not one blank or one line break between two other characters.
-_ODD = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
+_BLANK = re.compile(r"[^\S \n]")  # white space beside blanks and line breaks
 _CUT = re.compile(r"(?<=\S)\n(?=\S)|(?<=\S)(?= \S)")
+_ENDS = ".,;:!?()[]{}|#$%&*<>\"+-=/"  # characters that a splitter parts from letters before them
 
 
 def text_pieces(text: str) -> list[str]:
@@ -42,55 +44,99 @@ def text_pieces(text: str) -> list[str]:
     Its splitter never joins a character with a blank or line break behind it, so the text
     may be cut before a single blank and around a single line break.
     """
-    pieces = []
-    if _ODD.search(text):
-        at = 0
-        for cut in _CUT.finditer(text):
-            pieces.append(text[at : cut.start()])
-            if cut.end() > cut.start():
-                pieces.append("\n")
-            at = cut.end()
-        pieces.append(text[at:])
-        return pieces
-    for i, line in enumerate(text.split("\n")):
-        if i:
+    runs = ("  ", "\n\n", " \n", "\n ", "\0")
+    if not text[:1].isspace() and not text[-1:].isspace() and not any(r in text for r in runs) and not _BLANK.search(text):
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+    pieces, at = [], 0
+    for cut in _CUT.finditer(text):
+        pieces.append(text[at : cut.start()])
+        if cut.end() > cut.start():
             pieces.append("\n")
-        first, *more = line.split(" ")
-        pieces.append(first)
-        pieces.extend([" " + word for word in more])
+        at = cut.end()
+    pieces.append(text[at:])
     return pieces
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path), {}
+def _plain(piece: str) -> bool:
+    """Latin letters, perhaps after a blank: one word to the splitter."""
+    return (piece[1:] if piece[:1] == " " else piece).isalpha() and max(piece) < "\u0250"
+
+
+class Encoder:
+    """A tokenizer file, and the ids of pieces met before."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[str, bytes] = {}
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        splitter = str(self.tokenizer.pre_tokenizer)
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # of a byte-level model without more steps, words can be given to the model itself
+        self.direct = (
+            splitter.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in splitter
+            and self.tokenizer.normalizer is None and not any(_plain(t) for t in special)
+        )
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in printed]
+        self.letters = {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+    def _learn(self, pieces: set[str]) -> None:
+        whole = [p for p in pieces if not (self.direct and _plain(p))]
+        for piece, found in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
+            self.known[piece] = np.array(found.ids, self.kind).tobytes()
+        model, letters = self.tokenizer.model, self.letters
+        code = "H" if self.kind == "<u2" else "I"
+        for piece in pieces.difference(whole):
+            tokens = model.tokenize(piece.encode().decode("latin-1").translate(letters))
+            self.known[piece] = array(code, [t.id for t in tokens]).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Token ids of each text as little-endian numbers of ``kind``."""
+        split = [text_pieces(t) for t in texts]
+        every = set().union(*split)
+        new = every.difference(self.known)
+        if len(self.known) + len(new) > KNOWN_PIECES:
+            self.known.clear()
+            new = every
+        if self.direct:
+            # a word and the signs behind it are encoded apart
+            parted = {}
+            for piece in new:
+                core = piece.rstrip(_ENDS)
+                if len(core) < len(piece) and core and _plain(core):
+                    parted[piece] = (core, piece[len(core) :])
+            parts = {p for pair in parted.values() for p in pair}
+            self._learn((new - parted.keys() | parts) - self.known.keys())
+            known = self.known
+            for piece, (core, signs) in parted.items():
+                known[piece] = known[core] + known[signs]
+        else:
+            self._learn(new)
+        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
 
 
-def encode(texts: list[str], path: str) -> list[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit numbers."""
-    tokenizer, known = _tokenizer(path)
-    split = [text_pieces(t) for t in texts]
-    new = list({p for pieces in split for p in pieces if p not in known})
-    if len(known) + len(new) > KNOWN_PIECES:
-        known.clear()
-        new = list({p for pieces in split for p in pieces})
-    for piece, found in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-        known[piece] = np.array(found.ids, "<u4").tobytes()
-    return [b"".join([known[p] for p in pieces]) for pieces in split]
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One for each worker."""
+    return Encoder(path)
 
 
 def tokenize(docs: DataFrame, key: str, text: str, source: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """(row, key, source, n, ids): a row for each document, written down; ``n`` counts the closing id."""
+    """(row, key, source, n, ids): a row for each document, written down; ``n`` counts the closing id.
+
+    ``ids`` take two bytes each if the vocabulary allows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([end_id], "<u4").tobytes()
+        code = encoder(tokenizer)
+        end = np.array([end_id], code.kind).tobytes()
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [x + end for x in encode([t or "" for t in part.column(3).to_pylist()], tokenizer)]
-                counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+            for part in slices(batch, "text", SLICE_BYTES):
+                ids = [x + end for x in code.encode([t or "" for t in part.column(3).to_pylist()])]
+                counts = pa.array([len(x) // len(end) for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:3], counts, pa.array(ids, pa.binary())], ["row", "key", "source", "n", "ids"]
                 )
@@ -176,11 +222,12 @@ def pack(
         inner = np.array([full, *tail], np.int64)
         names = ["key", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
         for batch in batches:
-            keys, starts = batch.column(0), batch.column(1).to_numpy()
+            keys, starts, counts = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_numpy()
             rows, cells, held = [], [], 0
             for i in range(batch.num_rows):
-                ids = batch.column(2)[i].as_buffer()
-                begin, n = int(starts[i]), ids.size // 4
+                begin, n = int(starts[i]), int(counts[i])
+                ids = batch.column(3)[i].as_buffer()
+                ids = np.frombuffer(ids, f"<u{ids.size // n}").astype("<u4")
                 end = begin + n
                 ends = np.arange((begin // window + 1) * window, min(end, full) + 1, window)
                 ends = np.unique(np.concatenate([ends, inner[(inner > begin) & (inner <= end)], [end]]))
@@ -192,19 +239,19 @@ def pack(
                         place = int(np.searchsorted(inner, at, "right"))
                         sequence, base = full // window + place - 1, int(inner[place - 1])
                     rows.append(i)
-                    cells.append((at - begin, stop - at, n, sequence, at - base, ids[(at - begin) * 4 : (stop - begin) * 4]))
+                    cells.append((at - begin, stop - at, n, sequence, at - base, ids[at - begin : stop - begin].tobytes()))
                     at = stop
                 held += n
                 if held > 1 << 20 or i == batch.num_rows - 1:
                     columns = [keys.take(pa.array(rows, pa.int64()))]
                     columns += [pa.array([c[j] for c in cells], pa.int64()) for j in range(5)]
-                    columns.append(pa.array([c[5].to_pybytes() for c in cells], pa.binary()))
+                    columns.append(pa.array([c[5] for c in cells], pa.binary()))
                     yield pa.RecordBatch.from_arrays(columns, names)
                     rows, cells, held = [], [], 0
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-    met = tokens.select("row", "key", "ids").join(places, "row").select("key", "start", "ids")
+    met = tokens.select("row", "key", "n", "ids").join(places, "row").select("key", "start", "n", "ids")
     return met.mapInArrow(cut, schema).withColumnRenamed("key", key)
 
 

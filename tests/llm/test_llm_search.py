@@ -174,6 +174,15 @@ def test_pieces_are_encoded_as_the_whole(text):
     assert "".join(packing.text_pieces(text)) == text and joined == plain_ids(text)[:-1].tobytes()
 
 
+@pytest.mark.parametrize("text", ["don't can't. x's!", "word... (more) a|b #tag $5 5% é! ß, naïve: Привет. 日本 a\0b", "<|endoftext|> a<|endoftext|>", "ABC.DEF, x--y ''q''", "a1 1a a_b a-b"])
+def test_cached_pieces_have_the_same_ids(text):
+    code = packing.Encoder(packing.public_tokenizer())
+    assert code.direct
+    for _ in range(2):  # new, then known
+        got = [np.frombuffer(x, code.kind).astype("<u4").tobytes() for x in code.encode([text, text + " end"])]
+        assert got == [plain_ids(text)[:-1].tobytes(), plain_ids(text + " end")[:-1].tobytes()]
+
+
 def test_tail_is_not_padded():
     assert packing.tail_cuts(1024 + 700) == [1024 + 512, 1024 + 640, 1024 + 672, 1024 + 688, 1024 + 696, 1024 + 700]
     assert packing.tail_cuts(2048) == [] and packing.tail_cuts(0) == []
