@@ -14,7 +14,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from larkspur.plans.catalog import QUERIES  # noqa: E402
-from larkspur.session import build_session  # noqa: E402
+from larkspur.session import build_session, drop_scratch  # noqa: E402
 
 HEADLINE = [
     "area_price_top",
@@ -60,6 +60,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
+        drop_scratch(spark)
     total = round(sum(seconds.values()), 3)
     line = {"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds}
     scale = Path(sf_dir).name.removeprefix("sf")

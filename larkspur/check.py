@@ -65,7 +65,7 @@ def compare(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def main() -> None:
-    from larkspur.session import build_session
+    from larkspur.session import build_session, drop_scratch
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
     spark = build_session(
@@ -80,6 +80,7 @@ def main() -> None:
             print(compare(spark, sf_dir, name), flush=True)
         except Exception as error:  # report and go on
             print(f"ERROR  {name} {type(error).__name__}: {str(error)[:900]}", flush=True)
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column
@@ -32,8 +33,8 @@ STOP_WORDS = (
     "where's", "who's", "why's", "would",
 )
 
-# Rules of the part-of-speech selector. They approximate a tagger and can be
-# replaced by the caller.
+# Rules of the part-of-speech selector. They approximate a tagger; WordRules
+# takes others.
 NOUN_WORDS = ("food", "place", "service", "time", "staff", "menu", "table", "lunch", "dinner", "thing")
 NOUN_SUFFIXES = ("tion", "ment", "ness", "ity", "eau", "ung", "ing")
 ADJECTIVE_WORDS = ("good", "great", "nice", "best", "fresh", "friendly", "delicious", "slow", "cold")
@@ -154,37 +155,58 @@ def _ends_with(word: Column, suffixes: Sequence[str]) -> Column:
     return _any(word.endswith(suffix) for suffix in suffixes)
 
 
-def is_noun(word: Column) -> Column:
-    return (word.isin(list(NOUN_WORDS)) | _ends_with(word, NOUN_SUFFIXES)) & ~word.isin(list(ADJECTIVE_WORDS))
+@dataclass(frozen=True)
+class WordRules:
+    """Word lists and endings that stand in for a tagger and a sentiment model; give your own to replace them.
+
+    ``polarity_*`` map a score (0 very negative, 2 neutral, 4 very positive) to words, beginnings and endings.
+    """
+
+    noun_words: Sequence[str] = NOUN_WORDS
+    noun_suffixes: Sequence[str] = NOUN_SUFFIXES
+    adjective_words: Sequence[str] = ADJECTIVE_WORDS
+    adjective_suffixes: Sequence[str] = ADJECTIVE_SUFFIXES
+    polarity_words: Mapping[int, Sequence[str]] = field(default_factory=lambda: POLARITY_WORDS)
+    polarity_prefixes: Mapping[int, Sequence[str]] = field(default_factory=lambda: POLARITY_PREFIXES)
+    polarity_suffixes: Mapping[int, Sequence[str]] = field(default_factory=lambda: POLARITY_SUFFIXES)
+
+
+RULES = WordRules()
+
+
+def is_noun(word: Column, rules: WordRules = RULES) -> Column:
+    listed = word.isin(list(rules.noun_words)) | _ends_with(word, rules.noun_suffixes)
+    return listed & ~word.isin(list(rules.adjective_words))
 
 
-def is_adjective(word: Column) -> Column:
-    listed = word.isin(list(ADJECTIVE_WORDS)) | _ends_with(word, ADJECTIVE_SUFFIXES)
-    return listed & ~word.isin(list(NOUN_WORDS))
+def is_adjective(word: Column, rules: WordRules = RULES) -> Column:
+    listed = word.isin(list(rules.adjective_words)) | _ends_with(word, rules.adjective_suffixes)
+    return listed & ~word.isin(list(rules.noun_words))
 
 
 SELECTORS = {
     "noun": is_noun,
     "adjective": is_adjective,
-    "noun_adjective": lambda w: is_noun(w) | is_adjective(w),
+    "noun_adjective": lambda w, rules: is_noun(w, rules) | is_adjective(w, rules),
 }
 
 
-def select_words(tokens: Column, kind: str, if_empty: str | None = "na") -> Column:
+def select_words(tokens: Column, kind: str, if_empty: str | None = "na", rules: WordRules = RULES) -> Column:
     """Tokens of one word kind; an empty token list counts as ``[if_empty]``."""
+    chosen = lambda w: SELECTORS[kind](w, rules)
     if if_empty is None:
-        return F.filter(tokens, SELECTORS[kind])
+        return F.filter(tokens, chosen)
     empty = F.array(F.lit(if_empty))
-    return once(tokens, lambda t: F.when(F.size(t) == 0, empty).otherwise(F.filter(t, SELECTORS[kind])))
+    return once(tokens, lambda t: F.when(F.size(t) == 0, empty).otherwise(F.filter(t, chosen)))
 
 
-def word_polarity(word: Column) -> Column:
+def word_polarity(word: Column, rules: WordRules = RULES) -> Column:
     score = F.when(F.lit(False), 0)
-    for value, words in POLARITY_WORDS.items():
+    for value, words in rules.polarity_words.items():
         score = score.when(word.isin(list(words)), value)
-    for value, prefixes in POLARITY_PREFIXES.items():
+    for value, prefixes in rules.polarity_prefixes.items():
         score = score.when(_any(word.startswith(prefix) for prefix in prefixes), value)
-    for value, suffixes in POLARITY_SUFFIXES.items():
+    for value, suffixes in rules.polarity_suffixes.items():
         score = score.when(_ends_with(word, suffixes), value)
     return score.otherwise(2)
 
@@ -199,20 +221,20 @@ def _mean(scores: Column) -> Column:
     return F.when(F.size(scores) == 0, -1.0).otherwise(total / F.size(scores))
 
 
-def polarity_histogram(words: Column) -> Column:
+def polarity_histogram(words: Column, rules: WordRules = RULES) -> Column:
     """Counts of the scores 0 to 4, then the mean score; mean -1 without words."""
 
     def histogram(scores: Column) -> Column:
         counts = [_occurrences(scores, value).cast("double") for value in range(5)]
         return F.array(*counts, _mean(scores))
 
-    return once(F.transform(words, word_polarity), histogram)
+    return once(F.transform(words, lambda w: word_polarity(w, rules)), histogram)
 
 
-def document_polarity(words: Column) -> Column:
+def document_polarity(words: Column, rules: WordRules = RULES) -> Column:
     """Mean word score rounded half up to 0..4; -1 without words."""
     rounded = lambda mean: F.when(mean < 0, -1).otherwise(F.floor(mean + 0.5).cast("int"))
-    return once(once(F.transform(words, word_polarity), _mean), rounded)
+    return once(once(F.transform(words, lambda w: word_polarity(w, rules)), _mean), rounded)
 
 
 def has_entry(word: Column, lexicon: Sequence[str], mode: str = "substring") -> Column:

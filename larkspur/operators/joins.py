@@ -21,29 +21,37 @@ def lookup_or_fail(rows: DataFrame, table: DataFrame, on: str, value: str) -> Da
     )
 
 
+BLOCK_LETTERS = 256  # of a word that is taken apart at once
+
+
 def containing_words(words: DataFrame, word: str, lexicon: DataFrame, entry: str) -> DataFrame:
     """Distinct words that hold some lexicon entry as a substring.
 
     For a lexicon of any size and without comparing every pair: each word is
     taken apart into its pieces of the lengths that entries have, and the
-    pieces meet the entries in an equi join.
+    pieces meet the entries in an equi join. A long word is first cut into blocks that
+    overlap by the longest entry, so that its pieces are found near their block's
+    beginning and never stand in one row; blocks know their word by a digest.
     """
     entries = lexicon.select(F.col(entry).alias("_piece")).filter(F.trim("_piece") != "").distinct()
-    lengths = entries.agg(F.collect_set(F.length("_piece")).alias("lengths"))
+    # one row: the distinct lengths of entries, bounded by the longest
+    lengths = entries.agg(F.coalesce(F.collect_set(F.length("_piece")), F.array().cast("array<int>")).alias("lengths"))
     distinct = words.select(word).na.drop().distinct()
+    measured = distinct.withColumn("_lengths", lengths.scalar()).withColumn("_word", F.sha2(F.col(word), 256))
+    longest = F.coalesce(F.array_max("_lengths"), F.lit(0))
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.greatest(F.length(word), F.lit(1)) - 1) / BLOCK_LETTERS)),
+        lambda b: F.substring(word, (b * BLOCK_LETTERS + 1).cast("int"), longest + BLOCK_LETTERS - 1),
+    )
+    cut = each(measured, ["_word", "_lengths"], blocks, "_block")
     starts = lambda size: F.when(
-        F.length(word) >= size, F.sequence(F.lit(1), F.length(word) - size + 1)
+        F.length("_block") >= size, F.sequence(F.lit(1), F.least(F.length("_block") - size + 1, F.lit(BLOCK_LETTERS)))
     ).otherwise(F.array().cast("array<int>"))
     pieces = F.flatten(
-        F.transform("_lengths", lambda n: F.transform(starts(n), lambda at: F.substring(word, at, n)))
-    )
-    measured = distinct.withColumn("_lengths", lengths.scalar())
-    return (
-        each(measured, [word], F.array_distinct(pieces), "_piece")
-        .join(entries, "_piece", "left_semi")
-        .select(word)
-        .distinct()
+        F.transform("_lengths", lambda n: F.transform(starts(n), lambda at: F.substring("_block", at, n)))
     )
+    hits = each(cut, ["_word"], F.array_distinct(pieces), "_piece").join(entries, "_piece", "left_semi")
+    return measured.join(hits.select("_word").distinct(), "_word", "left_semi").select(word)
 
 
 def with_group_values(df: DataFrame, keys: list[str], **aggregates) -> DataFrame:

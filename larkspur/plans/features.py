@@ -4,12 +4,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
+from larkspur.functions.arrays import each
 from larkspur.learning import terms
+from larkspur.operators.joins import containing_words
 from larkspur.operators.sampling import hash_bucket, split_by_hash
+from larkspur.operators.skew import skew_join
 from larkspur.plans.files import LEXICON
 from larkspur.plans.registry import query
 from larkspur.plans.texts import KEPT_SQL, MARKED_SQL
-from larkspur.session import materialize
+from larkspur.session import materialize, scratch_path
+from larkspur.sources import scan
 
 COUNTS_SQL = f"""
     tokens AS (SELECT review_id, unnest({KEPT_SQL}) AS term FROM reviews_v),
@@ -289,6 +293,27 @@ def tag_entities(t):
     return t.documents.select("doc_id", F.array_join(lines, "\n").alias("tagged"))
 
 
+@query("tag_by_lexicon", r"""
+    WITH d AS (SELECT doc_id, string_split(""" + MARKED_SQL + r""", ' ') AS w FROM documents WHERE len(""" + MARKED_SQL + r""") > 0),
+    tokens AS (SELECT doc_id, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS word FROM d),
+    entries AS (SELECT DISTINCT word AS entry FROM (
+        SELECT unnest(regexp_split_to_array(regexp_replace(lower(regexp_replace(text, '[[:punct:]]', '', 'g')),
+               '[0-9]', '', 'g'), '\s')) AS word FROM benchmark) WHERE length(word) >= 6),
+    hits AS (SELECT word FROM (SELECT DISTINCT word FROM tokens) WHERE EXISTS (SELECT 1 FROM entries WHERE contains(word, entry)))
+    SELECT doc_id, pos, t.word, CASE WHEN h.word IS NULL THEN 'O' ELSE 'B-OTH' END AS label
+    FROM tokens t LEFT JOIN hits h ON h.word = t.word""")
+def tag_by_lexicon(t):
+    """Tokens of all documents with a tag, by a lexicon read from a file and met on distinct words."""
+    path = scratch_path(t.spark, "lexicon")
+    listed = each(t.read("benchmark"), [], tx.plain_words(F.col("text")), "value").filter(F.length("value") >= 6)
+    listed.distinct().write.text(path)
+    lexicon = scan.read_reference_list(t.spark, path)
+    tokens = materialize(each(t.documents, ["doc_id"], tx.sentence_tokens(F.col("text")), "word", "pos"), "tokens")
+    hits = materialize(containing_words(tokens, "word", lexicon, "value").withColumn("_hit", F.lit(True)), "hits")
+    label = F.when(F.col("_hit"), tx.ENTITY).otherwise(tx.OTHER).alias("label")
+    return skew_join(tokens, hits, ["word"], "left").select("doc_id", "pos", "word", label)
+
+
 @query("naive_bayes", f"""
     WITH {COUNTS_SQL},
     train AS (SELECT review_id, stars FROM reviews_v WHERE {TRAIN_SQL}),

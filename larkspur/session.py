@@ -41,9 +41,28 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_WRITTEN: list[str] = []  # scratch paths handed out and not dropped yet
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unused path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/larkspur-{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/larkspur-{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what was written below the scratch folder since the last call; returns the number of paths.
+
+    Call it when the results that read it are no longer needed.
+    """
+    paths = _WRITTEN[:]
+    del _WRITTEN[: len(paths)]
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -56,7 +75,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared scratch folder and read it back.
 
     Cuts the lineage, survives the loss of executors, and unlike a cache lets
-    later reads prune columns and see real file sizes.
+    later reads prune columns and see real file sizes. The job runs now, while the
+    plan is built: operators that use it work before their result is asked for.
+    :func:`drop_scratch` deletes what was written.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)

@@ -2,10 +2,11 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from larkspur.session import build_session  # noqa: E402
+from larkspur.session import build_session, drop_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,3 +22,11 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True, scope="module")
+def scratch():
+    """What a module's tests have written is deleted after them."""
+    yield
+    if (session := SparkSession.getActiveSession()) is not None:
+        drop_scratch(session)

@@ -243,3 +243,13 @@ def test_splits_samples_slices_copies(spark):
         assert sorted(r["k"] for r in slice_rows(df, ["k"], start, stop).collect()) == numbers[start:stop]
     copies = oversample(df.filter("k < 2"), F.col("k") == 1, 3).collect()
     assert sorted(map(tuple, copies)) == [(0, 1), (1, 1), (1, 2), (1, 3)]
+
+
+def test_a_very_long_word_is_searched_in_blocks(spark):
+    long = "ab" * 50_000
+    words = [long + "needle" + long, long, "xneedlex", "need", "a" * 255 + "needle", "b" * 256 + "needle", None]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    entries = spark.createDataFrame([("needle",), ("zz",), (" ",), ("q" * 300,)], "entry string")
+    got = {r["word"] for r in containing_words(df, "word", entries, "entry").collect()}
+    assert got == {w for w in words if w and "needle" in w}
+    assert containing_words(df, "word", entries.limit(0), "entry").count() == 0

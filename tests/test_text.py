@@ -108,3 +108,9 @@ def test_label_vocabulary_has_a_checked_size(spark):
     assert ar.label_vocabulary(df, "l").first()["vocabulary"] == ["a", "b", "c"]
     with pytest.raises(Exception, match="more than 2 labels"):
         ar.label_vocabulary(df, "l", limit=2).collect()
+
+
+def test_word_rules_can_be_replaced(spark):
+    rules = tx.WordRules(noun_words=("kapu",), noun_suffixes=(), polarity_words={4: ("jo",)}, polarity_prefixes={}, polarity_suffixes={})
+    assert one(spark, "kapu food jo", lambda c: tx.select_words(F.split(c, " "), "noun", rules=rules)) == ["kapu"]
+    assert one(spark, "kapu food jo", lambda c: tx.polarity_histogram(F.split(c, " "), rules)) == [0, 0, 2, 0, 1, 8 / 3]
