@@ -25,6 +25,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 RATIO = 1.5  # words of the mix for each word of input
 CEILING = 2  # times a source, and a document, may be taken
 BINS = 1024  # of the seeded hash; only the bin where a length's choice ends is ranked
+SLACK = 8  # times the longest text: words of a budget that the dynamic programme fills
 DP_WORDS = 1 << 20  # words the dynamic programme spans; a budget beyond takes long texts first
 
 
@@ -32,7 +33,8 @@ def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int)
     """How many of each length to take, so that the sum comes as near to ``budget`` from below as found.
 
     ``lengths`` are distinct, positive and ascending. First an even share of each length, what
-    does not go into whole texts carried to the next; then the dynamic programme.
+    does not go into whole texts carried to the next, but for the words of some long texts; these
+    are left to the dynamic programme.
     """
     total = int((lengths * counts).sum())
     if not total or budget <= 0:
@@ -40,10 +42,11 @@ def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int)
     if budget >= total:
         return counts.astype(np.int64)
     taken = np.zeros(len(lengths), np.int64)
+    even = budget - min(budget, SLACK * int(lengths[-1]), DP_WORDS)
     owed, used = 0, 0
     for i, (length, n) in enumerate(zip(lengths.tolist(), counts.tolist())):
         owed += length * n
-        taken[i] = min(n, max(0, owed * budget // total - used) // length)
+        taken[i] = min(n, max(0, owed * even // total - used) // length)
         used += int(taken[i]) * length
     rest, left = budget - used, counts - taken
     for i in range(len(lengths) - 1, -1, -1):
