@@ -149,25 +149,26 @@ def join_trees(left: Tree, right: Tree, percent: int, same: bool) -> tuple[np.nd
             a, b_level = a[place], b_level - 1
 
 
-def pair_bucket(ids, n, component, maps, side, percent: int) -> np.ndarray:
-    """Candidate pairs (a, b, largest overlap) of a bucket's sets, or of its sides 0 and 1."""
+def pair_bucket(ids, n, component, maps, level, side, lower: int, percent: int) -> np.ndarray:
+    """Candidate pairs (a, b, largest overlap) of a bucket's sets, or of its sides 0 and 1.
+
+    The sets are of the size classes ``lower`` and the next, by ``level``; pairs of the upper class
+    alone are left to its own bucket.
+    """
     found = [np.zeros((0, 3), np.int64)]
-    # sets that link are in the same class of sizes or in neighbouring ones
-    size_class = np.floor(np.log(n) / -math.log(percent / 100) + 1e-9).astype(np.int64)
     sides = ((0, 1), (1, 0)) if side.any() else ((0, 0),)
-    for c in np.unique(size_class).tolist():
-        for d in (c, c + 1):
-            for s, t in sides[:1] if c == d else sides:
-                x = np.flatnonzero((size_class == c) & (side == s))
-                y = np.flatnonzero((size_class == d) & (side == t))
-                if not len(x) or not len(y):
-                    continue
-                words = min(len(maps[i]) for i in np.concatenate([x, y]))
-                x, y = (z[np.lexsort((ids[z], n[z], component[z]))] for z in (x, y))
-                trees = [Tree(np.stack([fold(maps[i], words) for i in z]), n[z], component[z]) for z in (x, y)]
-                a, b, most = join_trees(*trees, percent, c == d and s == t)
-                a, b = ids[x[a]], ids[y[b]]
-                found.append(np.stack([np.minimum(a, b), np.maximum(a, b), most], 1))
+    for upper in (lower, lower + 1):
+        for s, t in sides[:1] if upper == lower else sides:
+            x = np.flatnonzero((level == lower) & (side == s))
+            y = np.flatnonzero((level == upper) & (side == t))
+            if not len(x) or not len(y):
+                continue
+            words = min(len(maps[i]) for i in np.concatenate([x, y]))
+            x, y = (z[np.lexsort((ids[z], n[z], component[z]))] for z in (x, y))
+            trees = [Tree(np.stack([fold(maps[i], words) for i in z]), n[z], component[z]) for z in (x, y)]
+            a, b, most = join_trees(*trees, percent, upper == lower and s == t)
+            a, b = ids[x[a]], ids[y[b]]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b), most], 1))
     return np.concatenate(found)
 
 
@@ -321,34 +322,48 @@ def _possible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFram
     return both.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long")
 
 
+def _size_class(n, percent: int):
+    """Sets that link are in the same class of sizes or in neighbouring ones."""
+    return F.floor(F.ln(n) / F.lit(-math.log(percent / 100)) + F.lit(1e-9)).cast("int")
+
+
+BUCKET = ["token", "lower"]
+
+
 def _tree_pairs(shared: DataFrame, signatures: DataFrame, percent: int, first: int, last: int) -> DataFrame:
-    """Candidates (a, b) of the buckets in ``shared`` (token, id, component), once or more; and rows
+    """Candidates (a, b) of the buckets in ``shared`` (token, lower, level, id, component), once or more; and rows
     (-1, n) for candidates beyond ``last``.
 
-    A large bucket is dealt over blocks of sets, and every two blocks meet in one task.
+    Buckets of the same sets are one. A large bucket is dealt over blocks of sets, and every
+    two blocks meet in one task.
     """
-    sizes = shared.groupBy("token").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
+    sizes = shared.groupBy(*BUCKET).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        *[F.sum(F.xxhash64(F.lit(k), "id").cast("decimal(38,0)")).alias(f"m{k}") for k in (1, 2)],
     )
-    mixed = sizes.filter("low < high").select("token", F.ceil(F.col("rows") / BLOCK).cast("bigint").alias("blocks"))
-    rows = shared.join(mixed, "token").join(signatures.select("id", "n", "bits"), "id")
+    mixed = sizes.filter("low < high").groupBy("lower", "rows", "m1", "m2").agg(F.min("token").alias("token"))
+    mixed = mixed.select(*BUCKET, F.ceil(F.col("rows") / BLOCK).cast("bigint").alias("blocks"))
+    rows = shared.join(mixed, BUCKET).join(signatures.select("id", "n", "bits"), "id")
     rows = rows.withColumn("k", F.pmod(F.xxhash64("id"), F.col("blocks")))
     rows = rows.withColumn("p", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    key = [*BUCKET, "lo", "hi"]
     rows = rows.select(
-        "token", F.least("k", "p").alias("lo"), F.greatest("k", "p").alias("hi"), (F.col("p") < F.col("k")).alias("side"),
-        "id", "component", "n", "bits",
+        *BUCKET, F.least("k", "p").alias("lo"), F.greatest("k", "p").alias("hi"), (F.col("p") < F.col("k")).alias("side"),
+        "id", "component", "n", "bits", "level",
     )
-    dealt = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "id")
+    dealt = rows.repartition(*key).sortWithinPartitions(*key, "id")
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """Runs of rows with one (token, lo, hi); at most two blocks."""
+        """Runs of rows with one (token, lower, lo, hi); at most two blocks."""
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(j).to_numpy() for j in range(3)], 1)
+            keys = np.stack([batch.column(j).to_numpy().astype(np.int64) for j in range(4)], 1)
             cuts = (np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist()
-            if held and any(held[-1].column(j)[-1] != batch.column(j)[0] for j in range(3)):
+            if held and any(held[-1].column(j)[-1] != batch.column(j)[0] for j in range(4)):
                 yield pa.Table.from_batches(held)
                 held = []
             for b, e in zip([0, *cuts], [*cuts, batch.num_rows]):
@@ -362,9 +377,9 @@ def _tree_pairs(shared: DataFrame, signatures: DataFrame, percent: int, first: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, left, held = [], 0, 0
         for group in groups(batches):
-            side, ids, component, n = (group.column(j).to_numpy() for j in (3, 4, 5, 6))
-            maps = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column(7)]
-            found = pair_bucket(ids, n, component, maps, side.astype(np.int8), percent)
+            lower, side, ids, component, n, level = (group.column(j).to_numpy() for j in (1, 4, 5, 6, 7, 9))
+            maps = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column(8)]
+            found = pair_bucket(ids, n, component, maps, level, side.astype(np.int8), int(lower[0]), percent)
             some, more = _dealt(found, len(ids), first, last)
             left += more
             out.append(some)
@@ -413,20 +428,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     frequency = spark.sparkContext.broadcast(_frequencies(scanned))
     signatures = _signatures(docs, text, size, percent, frequency)
 
-    tokens = signatures.select("id", F.explode("prefix").alias("token"))
+    tokens = signatures.select("id", "n", F.explode("prefix").alias("token"))
     several = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("token")
-    shared = materialize(tokens.join(several, "token"), "shared")
+    # a token's sets meet by neighbouring classes of sizes
+    placed = tokens.join(several, "token").withColumn("level", _size_class(F.col("n"), percent)).drop("n")
+    placed = placed.withColumn("lower", F.explode(F.array(F.col("level") - 1, F.col("level"))))
+    placed = materialize(placed, "placed")
+    crowded = placed.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(*BUCKET)
+    shared = materialize(placed.join(crowded, BUCKET), "shared")
     # the set with most shared tokens is the likeliest centre of a group of copies
     weight = shared.groupBy("id").agg(F.count(F.lit(1)).alias("w"))
-    centre = shared.join(weight, "id").groupBy("token").agg(F.max(F.struct("w", (-F.col("id")).alias("c"))).alias("top"))
-    starred = shared.join(centre.select("token", (-F.col("top.c")).alias("centre")), "token").filter("id <> centre")
+    centre = shared.join(weight, "id").groupBy(*BUCKET).agg(F.max(F.struct("w", (-F.col("id")).alias("c"))).alias("top"))
+    starred = shared.join(centre.select(*BUCKET, (-F.col("top.c")).alias("centre")), BUCKET).filter("id <> centre")
     pairs = starred.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
     links = _verified(materialize(_possible(pairs, signatures, percent), "pairs"), docs, text, size, percent, signatures)
     nodes = components(links)
 
     for first, last in PASSES:
         known = shared.join(nodes.withColumnRenamed("node", "id"), "id", "left")
-        known = known.select("token", "id", F.coalesce("component", "id").alias("component"))
+        known = known.select(*BUCKET, "level", "id", F.coalesce("component", "id").alias("component"))
         found = materialize(_tree_pairs(known, signatures, percent, first, last), "candidates")
         pairs = found.filter("a >= 0").distinct()
         if found.filter("a >= 0").limit(1).count():

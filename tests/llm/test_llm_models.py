@@ -315,13 +315,19 @@ def test_trees_leave_out_no_link(seed):
         (3 * i, 3 * j) for i in range(80) for j in range(i + 1, 80)
         if 100 * (k := len(np.intersect1d(sets[i], sets[j]))) >= 85 * (n[i] + n[j] - k)
     }
-    found = jaccard_join.pair_bucket(ids, n, ids, maps, side, 85)
+    level = np.floor(np.log(n) / -math.log(0.85) + 1e-9).astype(np.int64)
+
+    def bucket(component, side):
+        lowers = np.unique(np.concatenate([level - 1, level])).tolist()
+        return np.concatenate([jaccard_join.pair_bucket(ids, n, component, maps, level, side, c, 85) for c in lowers])
+
+    found = bucket(ids, side)
     pairs = {(a, b) for a, b, _ in found.tolist()}
     assert links <= pairs and len(pairs) == len(found) < 80 * 79 // 2
     half = (np.arange(80) % 2).astype(np.int8)
-    across = {(a, b) for a, b, _ in jaccard_join.pair_bucket(ids, n, ids, maps, half, 85).tolist()}
+    across = {(a, b) for a, b, _ in bucket(ids, half).tolist()}
     assert {(a, b) for a, b in links if (a // 3 + b // 3) % 2} <= across
-    assert not len(jaccard_join.pair_bucket(ids, n, np.zeros(80, np.int64), maps, side, 85))
+    assert not len(bucket(np.zeros(80, np.int64), side))
 
 
 def test_every_pair_that_links_shares_a_prefix_token():
