@@ -6,7 +6,8 @@ gathers each query's best local scores of every slice; the exact scores of those
 rows give a cutoff that the k-th best cannot lie below. In phase two every node
 collects the entries whose local score reaches the cutoff divided by the number
 of slices: a row that reaches the cutoff must do so in some slice. Phase three
-resolves the local scores that are still missing and ranks.
+resolves their other local scores at the block's other nodes, in the same task, and
+only what reaches the cutoff is sent and ranked.
 """
 
 from __future__ import annotations
@@ -205,24 +206,41 @@ def exact_topk(
     # queries with fewer than k rows so far have no cutoff; a block has at most query_block cutoffs
     cutoffs = cutoffs.filter(F.col("found") >= k).groupBy("qb").agg(F.collect_list(F.struct("qi", "score")).alias("cutoffs"))
     cutoffs = materialize(cutoffs, "cutoffs")
-    cut_nodes = sent.join(left.join(cutoffs, "qb", "left"), ["qb", "slice"]).repartition(tasks, "qb", "rb", "slice")
+    # all slices of a block of rows stand together, so that what is missing is resolved where it lies
+    def whole(side: DataFrame, by: str, name: str) -> DataFrame:
+        cells = F.struct(*[c for c in side.columns if c != by])
+        return side.groupBy(by).agg(F.sort_array(F.collect_list(cells)).alias(name))
+
+    asked = whole(left.select("slice", "qb", "q_ids", "q_kind", "q_vectors"), "qb", "queries").join(cutoffs, "qb", "left")
+    held = whole(right.select("slice", "rb", "width", "r_ids", "r_kind", "r_vectors"), "rb", "rows")
+    held = held.withColumn("qb", F.explode(each.cast("array<int>")))
+    pairs = held.join(asked, "qb").repartition(tasks, "qb", "rb")
 
     def sufficient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in _records(batches):
-            (q_ids, qm), (r_ids, rm) = _matrix(record, "q"), _matrix(record, "r")
-            s = _scores(qm, rm)
-            least = np.full(len(q_ids), -np.inf)
+            parts = []
+            for a, b in zip(record["queries"], record["rows"]):
+                node = {**a, **b}
+                parts.append(_scores(_matrix(node, "q")[1], _matrix(node, "r")[1]))
+            q_ids, r_ids = np.frombuffer(node["q_ids"], "<i8"), np.frombuffer(node["r_ids"], "<i8")
+            least = np.full((len(q_ids), 1), -np.inf)
             for c in record["cutoffs"] or []:
                 least[c["qi"]] = c["score"]
-            enough = s * slices >= least[:, None]
+            share = least / slices  # a row that reaches the cutoff reaches this in some slice
+            enough = np.zeros(parts[0].shape, bool)
+            for part in parts:
+                enough |= part >= share
             enough &= q_ids[:, None] != r_ids
             qi, ri = np.nonzero(enough)
-            for at in range(0, len(qi), 1 << 16):
-                a, b = qi[at : at + (1 << 16)], ri[at : at + (1 << 16)]
-                yield _entries(record, a, b, s[a, b])
-
-    entries = cut_nodes.mapInArrow(sufficient, _ENTRY_DDL)
-    return ranked(resolve(entries)).select("query_id", "rank", "vec_id", "score")
+            node |= {"qb": record["qb"], "rb": record["rb"], "slice": -1}
+            for at in range(0, len(qi), 1 << 18):
+                a, b = qi[at : at + (1 << 18)], ri[at : at + (1 << 18)]
+                total = sum(part[a, b].astype(np.int64) for part in parts)
+                reach = total >= least[a, 0]
+                yield _entries(node, a[reach], b[reach], total[reach])
+
+    entries = pairs.mapInArrow(sufficient, _ENTRY_DDL).withColumnRenamed("part", "score")
+    return ranked(entries).select("query_id", "rank", "vec_id", "score")
 
 
 OP3_SQL = """
