@@ -9,7 +9,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from samples import SMALL, crc, lower, no_docs, odd_docs, odd_rows, words
+from samples import crc, lower, no_docs, odd_docs, odd_rows, words
 
 from larkspur.llm import jaccard_join, language, lm_score, quality_model
 from larkspur.llm.catalog import QUERIES
