@@ -19,7 +19,6 @@ from larkspur.operators.grouping import (
     kernel_density,
     letter_values,
 )
-from larkspur.operators.skew import skew_join
 from larkspur.plans.registry import query
 from larkspur.plans.views import WIDTH
 from larkspur.session import materialize
