@@ -9,7 +9,6 @@ an equi-join on their size.
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
