@@ -77,10 +77,11 @@ def lda_metrics(t):
 @query("lda_param_runs")
 def lda_param_runs(t):
     """One run per region, by either optimizer in turn: parameters from a file of nested text values, statistics per run."""
+    em = F.col("r_regionkey") % 2 == 1  # whose parameters must be above 1
     regions = t.read("region").select(
         F.col("r_regionkey").alias("runid"),
-        F.lit(0.1).alias("alpha"),
-        ((F.col("r_regionkey") + 1) / F.lit(10.0)).alias("beta"),
+        F.when(em, 3.0).otherwise(0.1).alias("alpha"),
+        ((F.col("r_regionkey") + F.when(em, 10).otherwise(1)) / F.lit(10.0)).alias("beta"),
         (F.col("r_regionkey") + 2).alias("k"),
         F.lit(ROUNDS).alias("iterations"),
     )
