@@ -19,6 +19,7 @@ from larkspur.llm.quality_model import quality_scores
 from larkspur.session import materialize
 
 LEAST_SHARE = 0.5  # of a text's letters in its main language
+SHINGLE, PERCENT = 5, 80  # near duplicates share 80 % of their runs of five words; op6's own contract has others
 
 ORACLE_SQL = None  # classifiers, seeded choices and tokens have no SQL; tests hold the stages against brute force
 
@@ -47,7 +48,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the text with the smallest doc_id; equal rows once."""
     keyed = docs.withColumn("_key", _row_key(docs))
-    found = near_duplicates(keyed, "_key")
+    found = near_duplicates(keyed, "_key", size=SHINGLE, percent=PERCENT)
     kept = found.filter(F.col("_key") == F.col("component_id")).select("_key").distinct()
     return keyed.join(kept, "_key").dropDuplicates(["_key"]).select(docs.columns)
 

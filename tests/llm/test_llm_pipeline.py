@@ -89,6 +89,22 @@ def test_stages_on_odd_rows(spark, tmp_path):
         check_windows(before, by_name["packing"].collect())
 
 
+def test_near_duplicates_are_of_five_words_and_four_fifths(spark):
+    base = [f"w{i}" for i in range(200)]
+    short = [f"v{i}" for i in range(50)]
+    texts = [
+        base, base + [f"x{i}" for i in range(40)],  # 196 of 236 runs of five
+        short, short[:25] + ["other"] + short[26:],  # 41 of 51
+        [f"u{i}" for i in range(200)], [f"u{i}" for i in range(200)] + [f"y{i}" for i in range(52)],  # 196 of 248
+    ]
+    rows = [(i, " ".join(t), "en", "a", len(" ".join(t))) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = as_rows(corpus_pipeline.keep_one_of_a_group(spark, docs, SMALL))
+    want = {key for _, _, key in plain_components(rows, 5, 80)}
+    assert sorted(r[0] for r in got) == sorted(want) == [0, 2, 4, 5]
+    assert {key for _, _, key in plain_components(rows)} == set(range(6))
+
+
 def test_the_rest_stands_without_the_subpackage(monkeypatch):
     import builtins
 
