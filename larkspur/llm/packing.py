@@ -1,12 +1,13 @@
 """Packing documents into windows of tokens with a controlled mixture.
 
-Every source is a queue. Deficit round-robin gives each queue, in each round, a
-quantum of the round's tokens in proportion to its target; a document leaves when
-its queue's credit covers it, and the credit that is left, the deficit, is carried
-on. As credits only add up, the round of a document follows from the tokens before
-it in its queue: the first round whose total credit reaches its end. Running sums
-over range-partitioned rows give that position, so deficits carry across windows
-and across partitions without a task that sees a whole queue.
+Every source is a queue. The t-th token of a queue with target p is due at (t - 1/2) / p;
+the tokens due first, as many as a round has, are the round. So each round takes from every
+queue its target's part, whole tokens aside, and what a round owes is carried on; the
+others share what a queue that ran dry leaves. A round is a window unless told otherwise:
+in it a queue's tokens stand together, and a document is cut where its queue's quota ends.
+What a queue has given before a round follows from the targets and the queues' lengths,
+and a document's place in its queue from running sums over range-partitioned rows, so no
+task sees a whole queue.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ from larkspur.operators.chunks import with_running_sum
 from larkspur.session import materialize
 
 WINDOW = 1024  # tokens of a sequence
-ROUND = 64 * WINDOW  # tokens that a round of the queues hands out
 END_ID = 0  # closes every document
 KNOWN_PIECES = 800_000  # pieces of text whose ids a worker remembers
 SLICE_BYTES = 1 << 20
+CELLS = 1 << 20  # numbers of (round, queue) that a task holds at a time
 
 _BLANK = re.compile(r"[^\S \n]")  # white space beside blanks and line breaks
 _CUT = re.compile(r"(?<=\S)\n(?=\S)|(?<=\S)(?= \S)")
@@ -161,8 +162,94 @@ def tail_cuts(total: int, window: int = WINDOW) -> list[int]:
     return cuts
 
 
-def layout(tokens: DataFrame, shares: DataFrame | None, window: int, round_tokens: int, seed: int) -> tuple[DataFrame, int]:
-    """(row, start): where each document begins in the stream of all tokens; and the stream's length."""
+class Rounds:
+    """What every queue has given at the end of each round.
+
+    ``queues`` are the queues' tokens, ``shares`` their positive targets. All tasks get the same numbers:
+    of the floats at which no more than a round's tokens are due the largest is taken, and of tokens due
+    together those of the first queues.
+    """
+
+    def __init__(self, queues: list[int], shares: list[float], size: int, window: int):
+        self.queues, self.shares, self.size = np.array(queues, np.int64), np.array(shares, np.float64), size
+        self.total = int(self.queues.sum())
+        self.whole = self.total // size
+        rest = [x for x in tail_cuts(self.total, window) if x > self.whole * size]
+        self.rest = np.array([self.whole * size, *rest, *([self.total] if self.total > max([self.whole * size, *rest]) else [])], np.int64)
+        self.latest = np.array([2 * (self.queues / self.shares).max() + 2 / self.shares.min()]).view(np.int64)[0]
+
+    def ends(self, r: np.ndarray) -> np.ndarray:
+        """Where rounds begin in the stream; the last begin is its end."""
+        return np.where(r <= self.whole, r * self.size, self.rest[np.clip(r - self.whole, 0, len(self.rest) - 1)])
+
+    def _round_of(self, place: np.ndarray) -> np.ndarray:
+        late = self.whole - 1 + np.searchsorted(self.rest, place, "right")
+        return np.minimum(np.where(place < self.whole * self.size, place // self.size, late), self.whole + len(self.rest) - 2)
+
+    def _due(self, time: np.ndarray) -> np.ndarray:
+        return np.minimum(self.queues, np.floor(time[:, None] * self.shares + 0.5)).astype(np.int64)
+
+    def _place(self, time: np.ndarray) -> np.ndarray:
+        step = max(1, CELLS // len(self.queues))
+        parts = [self._due(time[i : i + step]).sum(1) for i in range(0, len(time), step)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+    def given(self, r: np.ndarray) -> np.ndarray:
+        """A row for each round: tokens that each queue has given before it."""
+        want = self.ends(r)
+        low, high = np.zeros(len(r), np.int64), np.full(len(r), self.latest)
+        while (high - low > 1).any():  # floats above zero are ordered as their bits
+            middle = low + (high - low) // 2
+            more = self._due(middle.view(np.float64)).sum(1) > want
+            low, high = np.where(more, low, middle), np.where(more, middle, high)
+        before = self._due(low.view(np.float64))
+        tied = self._due(high.view(np.float64)) - before
+        open_ = (want - before.sum(1))[:, None] - (np.cumsum(tied, 1) - tied)
+        return before + np.clip(open_, 0, tied)
+
+    def _touched(self, queue: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first and last round that tokens begin .. end - 1 can be in."""
+        share = self.shares[queue]
+        first, last = (begin + 0.5) / share, (end - 0.5) / share
+        return self._round_of(self._place(first * (1 - 1e-12))), self._round_of(self._place(last * (1 + 1e-12)))
+
+    def pieces(self, queue: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, from, to, place in the stream) of the parts of rows that lie in their queue from begin to end."""
+        first, last = self._touched(queue, begin, end)
+        sparse = last - first > 2 * (end - begin)  # most rounds hold none of the row's tokens
+        step = max(1, CELLS // (2 * len(self.queues)))
+        for i in range(len(queue)):
+            if sparse[i]:
+                at = np.arange(begin[i], end[i])
+                low, high = self._touched(np.full(len(at), queue[i]), at, at + 1)
+                span = high - low + 1
+                rounds = np.unique(np.repeat(low - (np.cumsum(span) - span), span) + np.arange(span.sum()))
+                for k in range(0, len(rounds), step):
+                    yield self._cut(np.full(len(rounds[k : k + step]), i), rounds[k : k + step], queue, begin, end)
+        # rows side by side, as many as there is room for
+        dense = np.flatnonzero(~sparse)
+        span = (last - first + 1)[dense]
+        upto = np.cumsum(span)
+        for k in range(0, int(span.sum()), step):
+            some = np.arange(k, min(k + step, int(upto[-1])))
+            which = np.searchsorted(upto, some, "right")
+            rows = dense[which]
+            yield self._cut(rows, first[rows] + some - (upto[which] - span[which]), queue, begin, end)
+
+    def _cut(self, rows: np.ndarray, rounds: np.ndarray, queue: np.ndarray, begin: np.ndarray, end: np.ndarray):
+        known, at = np.unique(np.concatenate([rounds, rounds + 1]), return_inverse=True)
+        given = self.given(known)
+        before, after = given[at[: len(rounds)]], given[at[len(rounds) :]]
+        own, each = queue[rows], np.arange(len(rows))
+        ahead = np.cumsum(after - before, 1)[each, own] - (after - before)[each, own]
+        low, high = np.maximum(begin[rows], before[each, own]), np.minimum(end[rows], after[each, own])
+        place = self.ends(rounds) + ahead + low - before[each, own]
+        some = low < high
+        return rows[some], (low - begin[rows])[some], (high - begin[rows])[some], place[some]
+
+
+def layout(tokens: DataFrame, shares: DataFrame | None, window: int, round_tokens: int, seed: int) -> tuple[DataFrame, Rounds | None]:
+    """(row, queue, begin): where each document begins in its queue; and the rounds, none without documents."""
     narrow = tokens.select(
         "row",
         F.coalesce("source", F.lit("")).alias("_s"),
@@ -171,22 +258,23 @@ def layout(tokens: DataFrame, shares: DataFrame | None, window: int, round_token
         F.xxhash64(F.lit(seed), "key").alias("_h"),
     )
     sums = narrow.groupBy("_s", "_z").agg(F.sum("n").alias("_queue"))
-    total = sums.agg(F.sum("_queue")).first()[0] or 0
     if shares is None:
-        share = sums.select("_s", "_z", (F.col("_queue") / F.lit(float(max(1, total)))).alias("_share"))
+        share = sums.withColumn("_share", F.col("_queue").cast("double"))
     else:
         given = shares.select(
             F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_z"), F.col("share").alias("_share")
         )
         # a queue without a positive target waits for the others
-        share = sums.join(given, ["_s", "_z"], "left").select("_s", "_z", F.greatest(F.coalesce("_share", F.lit(0.0)), F.lit(1e-9)).alias("_share"))
-    queued = with_running_sum(narrow, ["_s", "_z"], ["_h", "row"], F.col("n"), "_end")
-    credit = F.col("_share") * F.lit(float(round_tokens))  # a queue's quantum
-    placed = queued.join(share, ["_s", "_z"]).select(
-        F.ceil(F.col("_end") / credit).cast("bigint").alias("_round"), "_z", "_s", "_end", "row", "n"
+        share = sums.join(given, ["_s", "_z"], "left").withColumn("_share", F.greatest(F.coalesce("_share", F.lit(0.0)), F.lit(1e-9)))
+    found = share.orderBy("_z", "_s").collect()  # a row for each source
+    places = with_running_sum(narrow, ["_s", "_z"], ["_h", "row"], F.col("n"), "_end")
+    numbers = tokens.sparkSession.createDataFrame(
+        [(r["_s"], r["_z"], i) for i, r in enumerate(found)], "_s string, _z boolean, queue int"
     )
-    ordered = with_running_sum(placed, [], ["_round", "_z", "_s", "_end", "row"], F.col("n"), "_upto")
-    return ordered.select("row", (F.col("_upto") - F.col("n")).alias("start")), total
+    placed = places.join(F.broadcast(numbers), ["_s", "_z"]).select("row", "queue", (F.col("_end") - F.col("n")).alias("begin"))
+    whole = sum(r["_share"] for r in found)
+    rounds = Rounds([r["_queue"] for r in found], [r["_share"] / whole for r in found], round_tokens, window) if found else None
+    return placed, rounds
 
 
 def pack(
@@ -197,7 +285,7 @@ def pack(
     source: str = "source",
     shares: DataFrame | None = None,
     window: int = WINDOW,
-    round_tokens: int = ROUND,
+    round_tokens: int | None = None,
     end_id: int = END_ID,
     seed: int = 23,
 ) -> DataFrame:
@@ -207,7 +295,8 @@ def pack(
     (source, share) are the target proportions; without it, those of the tokens, with
     which all queues end together. Sequences have ``window`` tokens (a power of two); what is
     left at the end fills sequences of falling powers of two, so nothing is padded.
-    ``ids`` are little-endian unsigned 32-bit.
+    Each round of ``round_tokens``, a window if not given, holds the target shares until a queue is dry.
+    Every task knows all sources, and a round takes time with their number. ``ids`` are little-endian unsigned 32-bit.
 
     A null text is empty: its document is the closing id alone. A null source is a
     queue of its own. Rows that repeat a key are documents of their own. The order in
@@ -215,43 +304,53 @@ def pack(
     empty table gives no rows. Other columns are not read.
     """
     tokens = tokenize(docs, key, text, source, tokenizer, end_id)
-    places, total = layout(tokens, shares, window, round_tokens, seed)
+    places, rounds = layout(tokens, shares, window, round_tokens or window, seed)
+    total = rounds.total if rounds else 0
     full, tail = total - total % window, tail_cuts(total, window)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inner = np.array([full, *tail], np.int64)
         names = ["key", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
         for batch in batches:
-            keys, starts, counts = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            rows, cells, held = [], [], 0
-            for i in range(batch.num_rows):
-                begin, n = int(starts[i]), int(counts[i])
-                ids = batch.column(3)[i].as_buffer()
-                ids = np.frombuffer(ids, f"<u{ids.size // n}").astype("<u4")
-                end = begin + n
-                ends = np.arange((begin // window + 1) * window, min(end, full) + 1, window)
-                ends = np.unique(np.concatenate([ends, inner[(inner > begin) & (inner <= end)], [end]]))
-                at = begin
-                for stop in ends.tolist():
-                    if at < full:
-                        sequence, base = at // window, at // window * window
-                    else:
-                        place = int(np.searchsorted(inner, at, "right"))
-                        sequence, base = full // window + place - 1, int(inner[place - 1])
-                    rows.append(i)
-                    cells.append((at - begin, stop - at, n, sequence, at - base, ids[at - begin : stop - begin].tobytes()))
-                    at = stop
-                held += n
-                if held > 1 << 20 or i == batch.num_rows - 1:
-                    columns = [keys.take(pa.array(rows, pa.int64()))]
-                    columns += [pa.array([c[j] for c in cells], pa.int64()) for j in range(5)]
-                    columns.append(pa.array([c[5] for c in cells], pa.binary()))
-                    yield pa.RecordBatch.from_arrays(columns, names)
-                    rows, cells, held = [], [], 0
+            if not batch.num_rows:
+                continue
+            keys, counts = batch.column(0), batch.column(3).to_numpy()
+            queue, begins = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for found in rounds.pieces(queue, begins, begins + counts):
+                rows, cells, held = [], [], 0
+                for i, low, high, place in zip(*(x.tolist() for x in found)):
+                    n = int(counts[i])
+                    ids = batch.column(4)[i].as_buffer()
+                    ids = np.frombuffer(ids, f"<u{ids.size // n}")
+                    begin, end = place, place + high - low
+                    ends = {*range((begin // window + 1) * window, min(end, full) + 1, window), end}
+                    if end > full:
+                        ends.update(inner[(inner > begin) & (inner <= end)].tolist())
+                    at = begin
+                    for stop in sorted(ends):
+                        if at < full:
+                            sequence, base = at // window, at // window * window
+                        else:
+                            spot = int(np.searchsorted(inner, at, "right"))
+                            sequence, base = full // window + spot - 1, int(inner[spot - 1])
+                        start = low + at - begin
+                        rows.append(i)
+                        cells.append((start, stop - at, n, sequence, at - base, ids[start : start + stop - at].astype("<u4").tobytes()))
+                        held += stop - at
+                        at = stop
+                    if held > 1 << 20:
+                        yield pa.RecordBatch.from_arrays(columns(keys, rows, cells), names)
+                        rows, cells, held = [], [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays(columns(keys, rows, cells), names)
+
+    def columns(keys: pa.Array, rows: list[int], cells: list[tuple]) -> list[pa.Array]:
+        parts = [pa.array([c[j] for c in cells], pa.int64()) for j in range(5)]
+        return [keys.take(pa.array(rows, pa.int64())), *parts, pa.array([c[5] for c in cells], pa.binary())]
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-    met = tokens.select("row", "key", "n", "ids").join(places, "row").select("key", "start", "n", "ids")
+    met = tokens.select("row", "key", "n", "ids").join(places, "row").select("key", "queue", "begin", "n", "ids")
     return met.mapInArrow(cut, schema).withColumnRenamed("key", key)
 
 

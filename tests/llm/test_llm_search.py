@@ -179,6 +179,37 @@ def test_rounds_hold_the_target_shares(spark):
     assert abs(share - 0.5) < 0.03
 
 
+@pytest.mark.parametrize("target", [{"a": 0.5, "b": 0.3, "c": 0.2}, None])
+def test_every_window_holds_the_target_shares(spark, target):
+    rows = [(i, "word " * (5 + i % 90), None, "aabc"[i % 4], 0, *["x"] * 9) for i in range(400)]
+    shares = spark.createDataFrame(list(target.items()), "source string, share double") if target else None
+    pieces = packing.pack(odd_docs(spark, rows), packing.public_tokenizer(), shares=shares, window=64).collect()
+    check_pack(pieces, rows, 64)
+    source, windows, total = {r[0]: r[3] for r in rows}, defaultdict(Counter), Counter()
+    for p in pieces:
+        windows[p["sequence_id"]][source[p["doc_id"]]] += p["length"]
+        total[source[p["doc_id"]]] += p["length"]
+    want = target or {s: n / total.total() for s, n in total.items()}
+    running = int(min(total[s] / want[s] for s in want)) // 64 - 1  # windows before a queue is dry
+    assert running > 50
+    for k in range(running):
+        assert all(abs(windows[k][s] - 64 * want[s]) <= 2 for s in want), (k, windows[k])
+
+
+def test_rounds_are_the_tokens_due_first():
+    queues, shares = [500, 40, 333, 7], [0.5, 0.3, 0.2, 1e-9]
+    rounds = packing.Rounds(queues, shares, 64, 64)
+    due = sorted(((t + 0.5) / p, s, t) for s, (n, p) in enumerate(zip(queues, shares)) for t in range(n))
+    want = {}
+    ends = [*range(0, 833, 64), *packing.tail_cuts(880, 64)]
+    for a, b in zip(ends, ends[1:]):
+        want.update({token: a + i for i, token in enumerate(sorted((s, t) for _, s, t in due[a:b]))})
+    spans = [(s, a, min(a + 30, n)) for s, n in enumerate(queues) for a in range(0, n, 30)]
+    queue, begin, end = (np.array(x) for x in zip(*spans))
+    got = [(queue[i], begin[i] + low + k, at + k) for part in rounds.pieces(queue, begin, end) for i, low, high, at in zip(*part) for k in range(high - low)]
+    assert len(got) == 880 and {(s, t): at for s, t, at in got} == want
+
+
 @pytest.mark.parametrize("text", ["a b", " a", "a ", "a  b", "a\nb", "a \n b", "a\n\nb", "a\tb c", "é\u00a0b c", "x\u2028y z", "don't  stop 12 34", "a\r\nb c", "\n", ""])
 def test_pieces_are_encoded_as_the_whole(text):
     joined = b"".join([plain_ids(p)[:-1].tobytes() for p in packing.text_pieces(text)])
