@@ -170,7 +170,7 @@ def random_forest(t):
 
 
 def _labelled_reviews(t):
-    """Reviews with the label indicators of their business, counts of all terms of the training part, and of its most frequent."""
+    """Reviews with the label indicators of their business and counts of all terms of the training part."""
     named = t.business.na.drop(subset=["categories"]).select(
         "business_id", tx.split_trim(F.col("categories")).alias("labels")
     )
@@ -183,15 +183,14 @@ def _labelled_reviews(t):
     rows = materialize(rows, "words")
     train, _ = split_by_hash(rows, "review_id", [70, 30], seed=1)
     counted = CountVectorizer(inputCol="words", outputCol="features").fit(train)
-    few = CountVectorizer(inputCol="words", outputCol="frequent", vocabSize=FOREST_TERMS).fit(train)
-    return materialize(few.transform(counted.transform(rows)).drop("words"), "labelled"), names
+    return materialize(counted.transform(rows).drop("words"), "labelled"), names
 
 
 @query("binary_relevance")
 def binary_relevance(t):
     """Labels of the business from the review's words: three kinds of binary models, 70/30 split.
 
-    Margin models and naive Bayes see all terms; the forest, whose training holds each feature of each row, the most frequent.
+    All see all terms. As a forest's training holds each feature of each row, forests are fitted one at a time.
     """
     rows, names = _labelled_reviews(t)
     models = {
@@ -202,9 +201,9 @@ def binary_relevance(t):
     places = lambda c: F.filter(F.sequence(F.lit(1), F.size(c)), lambda i: F.element_at(c, i) == 1)
     found = None
     for name, estimator in models.items():
-        vectors = F.col("frequent" if name == "forest" else "features").alias("features")
-        train, test = split_by_hash(rows.select("review_id", "y", vectors), "review_id", [70, 30], seed=1)
-        predicted = heads.binary_relevance(train, test, "y", len(names), estimator)
+        train, test = split_by_hash(rows, "review_id", [70, 30], seed=1)
+        threads = 1 if name == "forest" else 8
+        predicted = heads.binary_relevance(train.select("y", "features"), test, "y", len(names), estimator, threads=threads)
         sets = predicted.select(places("y").alias("a"), places("predicted").alias("p"))
         scores = metrics.multilabel_scores(sets, "a", "p").select(F.lit(name).alias("model"), "*")
         found = scores if found is None else found.union(scores)

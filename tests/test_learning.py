@@ -3,6 +3,7 @@
 import math
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
@@ -11,6 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from larkspur.learning import heads, metrics, ratings, terms, topics
+from larkspur.plans import models
 
 
 @pytest.fixture(scope="module")
@@ -152,6 +154,18 @@ def test_rating_features_and_regression(reviews):
     assert summary["train_rmse"] == pytest.approx(summary["test_rmse"])
 
 
+def test_forest_of_binary_relevance_sees_words_beyond_the_commonest(spark):
+    common = " ".join(f"filler{i}" for i in range(500))
+    marks = " ".join(f"marker{i}" for i in range(600))
+    rows = [(f"r{i}", "ab"[i % 5 < 2], f"{common} {common} {marks if i % 5 < 2 else ''}") for i in range(60)]
+    tables = SimpleNamespace(
+        business=spark.createDataFrame([("a", "Other"), ("b", "Rare")], "business_id string, categories string"),
+        reviews=spark.createDataFrame(rows, "review_id string, business_id string, text string"),
+    )
+    scores = {r["model"]: r for r in models.binary_relevance(tables).collect()}
+    assert all(value == 1.0 for value in scores["forest"][1:])
+
+
 def test_binary_relevance_with_constant_labels(spark):
     rows = [([float(i), float(-i)], [int(i > 5), 1, 0]) for i in range(10)]
     df = spark.createDataFrame(rows, "v array<double>, y array<int>").select(array_to_vector("v").alias("features"), "y")
