@@ -1,6 +1,9 @@
 """Importing this module registers every query of the subpackage."""
 
 from larkspur.llm import (  # noqa: F401
+    alignment,
+    collocations,
+    content_sort,
     jaccard_join,
     language,
     license_scan,
