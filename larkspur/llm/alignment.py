@@ -6,7 +6,7 @@ have spans that overlap or are empty; between the coarse cuts the bytes that tok
 Bytes at which tokens of both end part a text into groups.
 
 A text is cut before single blanks, where no token of either kind can lie across, and a piece met before is not
-aligned again. Links are counted in slices of the corpus, summed by pair of ids, and looked up by slice again.
+aligned again; new ones are encoded side by side. Links are counted in slices of the corpus, summed by pair of ids, and looked up by slice again.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,8 @@ from larkspur.operators.skew import skew_join
 from larkspur.session import materialize
 
 SLICE_BYTES = 1 << 20
-KNOWN_BYTES = 96 << 20  # of pieces and their alignments that a worker remembers
+KNOWN_BYTES = 160 << 20  # of pieces and their alignments that a worker remembers
+JOINED = 1 << 14  # characters of new pieces that are encoded as one text
 LONG_PIECE = 64  # characters from which a piece is not remembered
 FLUSH = 2_000_000  # distinct pairs that a task holds before it sends them
 
@@ -49,29 +51,27 @@ def text_pieces(text: str) -> list[str]:
     return _CUT.split(text) if _ODD.search(text) else text.split(" ")
 
 
-def token_ends(begins: list[int], ends: list[int], sizes: list[int]) -> list[int]:
-    """Where tokens end in bytes: at the end of their span, or by their own bytes where the next one's span overlaps it."""
-    found, at, last = [], 0, len(ends) - 1
-    for i, end in enumerate(ends):
-        shared = i < last and (begins[i + 1] < end or end == begins[i] or ends[i + 1] == end)
-        at = at + sizes[i] if shared else end
-        found.append(at)
-    return found
+def token_ends(begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where tokens end in bytes: at the end of their span, or by their own bytes where the next one's span overlaps it or is empty."""
+    shared = ends == begins
+    shared[:-1] |= (begins[1:] < ends[:-1]) | (ends[1:] == ends[:-1])
+    shared[-1:] = False
+    own = np.cumsum(sizes)
+    sure = np.maximum.accumulate(np.where(shared, -1, np.arange(len(ends))))
+    return own + np.where(sure >= 0, ends[sure] - own[sure], 0)
 
 
-def shared_cuts(a_ends: list[int], b_ends: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """(groups, links): how many tokens of both lie before each shared end, and positions of tokens that overlap."""
-    groups, links, i, j = [], [], 0, 0
-    while i < len(a_ends) and j < len(b_ends):
-        links.append((i, j))
-        if a_ends[i] == b_ends[j]:
-            i, j = i + 1, j + 1
-            groups.append((i, j))
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    return groups, links
+class Aligned:
+    """Tokens of both kinds of one text, links and groups: a link for each run of bytes that holds no end of a token inside."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray):
+        self.a, self.b, self.a_ends, self.b_ends = a, b, a_ends, b_ends
+        self.link_ends = np.unique(np.concatenate([a_ends, b_ends]))
+        i, j = np.searchsorted(a_ends, self.link_ends), np.searchsorted(b_ends, self.link_ends)
+        self.pairs = a[i] << 32 | b[j]
+        self.cuts = self.link_ends[(a_ends[i] == self.link_ends) & (b_ends[j] == self.link_ends)]
+        # the group of each token
+        self.a_groups, self.b_groups = np.searchsorted(self.cuts, a_ends), np.searchsorted(self.cuts, b_ends)
 
 
 class Aligner:
@@ -91,6 +91,10 @@ class Aligner:
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in held]) for held in (self.a_bytes, self.b_bytes))
+        # ids as text, with what stands behind one in a group and behind the last one
+        self.a_text = [np.array([f"{i}{end}".encode() for i in range(len(self.a_bytes))], object) for end in ",|"]
+        self.b_text = [np.array([f"{i}{end}".encode() for i in range(len(self.b_bytes))], object) for end in ",;"]
         splitter = str(self.a.pre_tokenizer)
         self.cuts = (
             splitter.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in splitter
@@ -100,60 +104,83 @@ class Aligner:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.pairs: dict[int, int] = {}  # pair of ids to a number of this worker
         self.held = 0
         self.groups: list[bytes] = []
         self.sizes = np.zeros((1024, 5), np.int64)  # tokens of both, groups, links, where the links begin; -1 tokens: unequal bytes
-        self.links = np.zeros(1 << 16, np.int32)
+        self.links = np.zeros(1 << 16, np.int64)
         self.linked = 0
 
-    def align(self, piece: str, encoded) -> tuple[list[int], list[int], list[int], list[int]] | None:
-        """(ids, byte ends) of both tokenizers for a blank and ``piece``; None if their bytes are not those of the text."""
-        want = b" " + piece.encode()
-        ids = encoded.ids
-        whole = self.b.encode_as_proto(piece).pieces
-        other = [p.id for p in whole]
-        if b"".join([self.a_bytes[t] for t in ids]) != want or b"".join([self.b_bytes[t] for t in other]) != want:
+    def align(self, text: str) -> Aligned | None:
+        """A blank and ``text``, aligned; None if the tokens of either kind do not spell it."""
+        want = b" " + text.encode()
+        encoded = self.a.encode(" " + text, add_special_tokens=False)
+        whole = self.b.encode_as_proto(text).pieces
+        a, b = encoded.ids, [p.id for p in whole]
+        if b"".join(map(self.a_bytes.__getitem__, a)) != want or b"".join(map(self.b_bytes.__getitem__, b)) != want:
             return None
-        offsets = encoded.offsets
-        if len(want) > len(piece) + 1:  # characters to bytes
-            at = np.concatenate([[0, 1], 1 + np.cumsum([len(c.encode()) for c in piece])]).tolist()
-            offsets = [(at[x], at[y]) for x, y in offsets]
-        a_ends = token_ends([x for x, _ in offsets], [y for _, y in offsets], [len(self.a_bytes[t]) for t in ids])
+        spans = np.array(encoded.offsets, np.int64).reshape(-1, 2)
+        if len(want) > len(text) + 1:  # characters to bytes
+            starts = np.flatnonzero(np.frombuffer(want, np.uint8) & 0xC0 != 0x80)
+            spans = np.append(starts, len(want))[spans]
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_ends = token_ends(spans[:, 0], spans[:, 1], self.a_sizes[a])
         # sentencepiece puts the first blank itself, and its spans do not count it
-        begins = [p.begin + 1 if k else 0 for k, p in enumerate(whole)]
-        b_ends = token_ends(begins, [p.end + 1 for p in whole], [len(self.b_bytes[t]) for t in other])
-        return ids, other, a_ends, b_ends
+        begins, ends = (np.array(x, np.int64) + 1 for x in ([p.begin for p in whole], [p.end for p in whole]))
+        begins[:1] = 0
+        return Aligned(a, b, a_ends, token_ends(begins, ends, self.b_sizes[b]))
 
     def learn(self, pieces: list[str]) -> None:
-        encoded = self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)
-        for piece, found in zip(pieces, encoded):
-            self._add(piece, self.align(piece, found))
-
-    def _add(self, piece: str, found) -> None:
-        number = len(self.groups)
-        if number == len(self.sizes):
+        """Align new pieces, many in one text where blanks may part them."""
+        joined, size = [], 0
+        for piece in pieces:
+            if not piece or piece[0].isspace() or piece[-1].isspace() or not self.cuts or len(piece) > JOINED:
+                self._add([piece])
+                continue
+            joined.append(piece)
+            size += len(piece)
+            if size > JOINED:
+                self._add(joined)
+                joined, size = [], 0
+        if joined:
+            self._add(joined)
+
+    def _add(self, pieces: list[str]) -> None:
+        found = self.align(" ".join(pieces))
+        if found is None and len(pieces) > 1:
+            self._add(pieces[: len(pieces) // 2])
+            self._add(pieces[len(pieces) // 2 :])
+            return
+        first, n = len(self.groups), len(pieces)
+        while first + n > len(self.sizes):
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        self.known[piece] = number
-        self.held += 200 + 4 * len(piece)
+        self.known.update(zip(pieces, range(first, first + n)))
         if found is None:
             self.groups.append(b"")
-            self.sizes[number] = (-1, -1, 0, 0, self.linked)
+            self.sizes[first] = (-1, -1, 0, 0, self.linked)
             return
-        a, b, a_ends, b_ends = found
-        groups, links = shared_cuts(a_ends, b_ends)
-        parts, i, j = [], 0, 0
-        for x, y in groups:
-            parts.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
-            i, j = x, y
-        self.groups.append(";".join(parts).encode())
-        self.sizes[number] = (len(a), len(b), len(groups), len(links), self.linked)
-        pairs, n = self.pairs, self.linked
-        while n + len(links) > len(self.links):
+        ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
+        upto = [np.searchsorted(x, ends, "right") for x in (found.a_ends, found.b_ends, found.cuts, found.link_ends)]
+        self.sizes[first : first + n, :4] = np.stack([np.diff(u, prepend=0) for u in upto], 1)
+        self.sizes[first : first + n, 4] = self.linked + np.concatenate([[0], upto[3][:-1]])
+        while self.linked + len(found.pairs) > len(self.links):
             self.links = np.concatenate([self.links, np.zeros_like(self.links)])
-        self.links[n : n + len(links)] = [pairs.setdefault(a[x] << 32 | b[y], len(pairs)) for x, y in links]
-        self.linked = n + len(links)
-        self.held += 120 * len(links) + len(self.groups[-1])
+        self.links[self.linked : self.linked + len(found.pairs)] = found.pairs
+        self.linked += len(found.pairs)
+        texts = self._texts(found)
+        low = 0
+        for high in (upto[0] + upto[1]).tolist():
+            self.groups.append(b"".join(texts[low:high])[:-1])
+            low = high
+        self.held += 300 * n + 2 * int(ends[-1]) + 8 * len(found.pairs) + sum(map(len, texts))
+
+    def _texts(self, found: Aligned) -> list[bytes]:
+        """The ids of all groups as text, one by one with what stands behind."""
+        parts = []
+        for ids, group, text in ((found.a, found.a_groups, self.a_text), (found.b, found.b_groups, self.b_text)):
+            last = np.append(group[1:] != group[:-1], True)
+            parts.append(np.where(last, text[1][ids], text[0][ids]))
+        order = np.argsort(np.concatenate([found.a_groups * 2, found.b_groups * 2 + 1]), kind="stable")
+        return np.concatenate(parts)[order].tolist()
 
     def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the pieces of all texts in order, and how many pieces each text has."""
@@ -163,7 +190,7 @@ class Aligner:
         new = set().union(*split).difference(self.known)
         self.learn(list(new))
         known = self.known
-        flat = np.fromiter((known[p] for pieces in split for p in pieces), np.int64)
+        flat = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64)
         for piece in new:
             if len(piece) >= LONG_PIECE:
                 del known[piece]
@@ -228,17 +255,15 @@ def _slice(work: Aligner, texts: list[str]) -> dict:
         first = end
     kept = np.repeat(good, counts)
     lengths, begins = sizes[kept, 3], sizes[kept, 4]
-    links = work.links[_expand(begins, lengths)].astype(np.int64)
+    pairs, links = np.unique(work.links[_expand(begins, lengths)], return_inverse=True)
     doc = np.repeat(np.repeat(np.arange(len(texts)), counts)[kept], lengths)
     both, times = sum_by(doc << 32 | links, np.ones(len(links), np.int64))
-    number, code = np.unique(both & 0xFFFFFFFF, return_inverse=True)
+    code = both & 0xFFFFFFFF
     entries = np.bincount(both >> 32, minlength=len(texts))
-    # the pairs behind the numbers of this worker
-    held = np.fromiter(work.pairs, np.int64, len(work.pairs))[number]
-    width = 2 if len(number) < 1 << 16 else 4
+    width = 2 if len(pairs) < 1 << 16 else 4
     return {
         "n_a": n_a.tolist(), "n_b": n_b.tolist(), "n_groups": n_groups.tolist(), "sha": sha, "entries": entries.tolist(), "width": width,
-        "codes": code.astype(f"<u{width}"), "times": times.astype("<u4"), "pairs": held, "docs": np.bincount(code, minlength=len(number)).astype("<u4"),
+        "codes": code.astype(f"<u{width}"), "times": times.astype("<u4"), "pairs": pairs, "docs": np.bincount(code, minlength=len(pairs)).astype("<u4"),
     }
 
 
@@ -322,25 +347,21 @@ def aligned_spans(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id"
     types = [form, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def groups(work: Aligner, whole: str) -> Iterator[tuple]:
-        made, at = [], 0
-        for piece in text_pieces(whole) if work.cuts else [whole]:
-            found = work.align(piece, work.a.encode(" " + piece, add_special_tokens=False))
-            if found is None:
-                return
-            a, b, a_ends, b_ends = found
-            i = j = 0
-            for x, y in shared_cuts(a_ends, b_ends)[0]:
-                begin = a_ends[i - 1] if i else 0
-                made.append((len(made), at + begin, at + a_ends[x - 1], a[i:x], b[j:y]))
-                i, j = x, y
-            at += a_ends[-1]
-        yield from made
+        found = work.align(whole)
+        if found is None:
+            return
+        a, b, begin = found.a.tolist(), found.b.tolist(), 0
+        i = j = 0
+        upto = (np.searchsorted(x, found.cuts, "right").tolist() for x in (found.a_ends, found.b_ends))
+        for number, (end, x, y) in enumerate(zip(found.cuts.tolist(), *upto)):
+            yield number, begin, end, a[i:x], b[j:y]
+            begin, i, j = end, x, y
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = aligner(a_path, b_path)
         for batch in batches:
             for name, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = [(name, *g) for g in groups(work, whole)] if whole else []
+                rows = [(name, *g) for g in (groups(work, whole) if whole else ())]
                 for k in range(0, len(rows), 10_000):
                     columns = zip(*rows[k : k + 10_000])
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
