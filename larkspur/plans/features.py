@@ -33,12 +33,12 @@ def in_train():
 @query("count_vectorize", f"""
     WITH {COUNTS_SQL},
     vocabulary AS (SELECT term, row_number() OVER (ORDER BY sum(tf) DESC, term) - 1 AS idx
-                   FROM counts WHERE {TRAIN_SQL} GROUP BY term QUALIFY idx < 262144)
+                   FROM counts WHERE {TRAIN_SQL} GROUP BY term)
     SELECT review_id, c.term, idx, tf FROM counts c JOIN vocabulary v ON v.term = c.term""")
 def count_vectorize(t):
     """Vocabulary of the training part, used on all reviews."""
     counts = review_counts(t)
-    vocabulary = terms.fit_vocabulary(counts.filter(in_train()), 1 << 18)
+    vocabulary = terms.fit_vocabulary(counts.filter(in_train()))
     return terms.count_vectorize(counts, vocabulary).select("review_id", "term", "idx", "tf")
 
 

@@ -1,16 +1,16 @@
 """Models: topics, ratings, classifiers. Results of iterative fits have no SQL."""
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, NaiveBayes, RandomForestClassifier
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as tx
 from larkspur.functions.arrays import concat_vectors, indicators, joined, label_vocabulary, one_hot, positional_array
-from larkspur.learning import heads, metrics, ratings, terms, topics
-from larkspur.operators.sampling import split_by_hash
+from larkspur.learning import heads, labels, metrics, ratings, terms, topics
+from larkspur.learning.sparse import term_vectors
+from larkspur.operators.sampling import hash_bucket, split_by_hash
 from larkspur.operators.skew import skew_join
 from larkspur.plans.evaluation import _rounded
 from larkspur.plans.features import chi2_ranks, unit_weights
@@ -180,34 +180,34 @@ def _labelled_reviews(t):
     texts = t.reviews.select("review_id", "business_id", "text").na.fill("", ["text"])
     kept = tx.remove_words(tx.gap_tokens(F.col("text")))
     rows = skew_join(texts, flags, ["business_id"]).select("review_id", "y", kept.alias("words"))
-    rows = materialize(rows, "words")
-    train, _ = split_by_hash(rows, "review_id", [70, 30], seed=1)
-    counted = CountVectorizer(inputCol="words", outputCol="features").fit(train)
-    return materialize(counted.transform(rows).drop("words"), "labelled"), names
+    return term_vectors(rows, "words", hash_bucket(F.col("review_id"), 1) < 70), names
 
 
 @query("binary_relevance")
 def binary_relevance(t):
     """Labels of the business from the review's words: three kinds of binary models, 70/30 split.
 
-    All see all terms. As a forest's training holds each feature of each row, forests are fitted one at a time.
+    All see all terms. Margin and naive Bayes models are fitted for all labels at once, forests one at a time.
     """
-    rows, names = _labelled_reviews(t)
-    models = {
-        "margin": lambda: LinearSVC(maxIter=MARGIN_ROUNDS, tol=0.001, regParam=0.01),
-        "naive_bayes": lambda: NaiveBayes(smoothing=1.0),
-        "forest": lambda: RandomForestClassifier(numTrees=75, maxDepth=FOREST_DEPTH, seed=37),
+    found, names = _labelled_reviews(t)
+    rows, width, count = found.rows, max(found.size, 1), len(names)
+    train, test = split_by_hash(rows.drop("features"), "review_id", [70, 30], seed=1)
+    margin = labels.fit_labels(train, "y", count, width, "squared_hinge", reg=0.01, iterations=MARGIN_ROUNDS)
+    bayes = labels.naive_bayes_labels(train, "y", count, width)
+    train_rows, test_rows = split_by_hash(rows, "review_id", [70, 30], seed=1)
+    forest = lambda: RandomForestClassifier(numTrees=75, maxDepth=FOREST_DEPTH, seed=37)
+    predicted = {
+        "margin": labels.predict_labels(margin, test, ["y"]),
+        "naive_bayes": labels.predict_labels(bayes, test, ["y"]),
+        "forest": heads.binary_relevance(train_rows.select("y", "features"), test_rows, "y", count, forest, threads=1),
     }
     places = lambda c: F.filter(F.sequence(F.lit(1), F.size(c)), lambda i: F.element_at(c, i) == 1)
-    found = None
-    for name, estimator in models.items():
-        train, test = split_by_hash(rows, "review_id", [70, 30], seed=1)
-        threads = 1 if name == "forest" else 8
-        predicted = heads.binary_relevance(train.select("y", "features"), test, "y", len(names), estimator, threads=threads)
-        sets = predicted.select(places("y").alias("a"), places("predicted").alias("p"))
+    scored = None
+    for name, kind in predicted.items():
+        sets = kind.select(places("y").alias("a"), places("predicted").alias("p"))
         scores = metrics.multilabel_scores(sets, "a", "p").select(F.lit(name).alias("model"), "*")
-        found = scores if found is None else found.union(scores)
-    return found
+        scored = scores if scored is None else scored.union(scores)
+    return scored
 
 
 def _food_rows(t):
@@ -237,14 +237,10 @@ def class_softmax(t):
     return _rounded(metrics.class_report(model.transform(test), "food", "food_pred"))
 
 
-def _label_head():
-    return heads.LogisticRegression(maxIter=100, regParam=0.001)
-
-
 @query("multilabel_logit")
 def multilabel_logit(t):
     train, test = _food_rows(t)
-    predicted = heads.binary_relevance(train, test, "y2", WIDTH, _label_head)
+    predicted = heads.label_heads(train, test, "y2", WIDTH, WIDTH, ["y2"])
     return _rounded(metrics.label_report(predicted, "y2", "predicted"))
 
 
@@ -260,16 +256,17 @@ def binary_logit(t):
 def parallel_heads(t):
     """Food class, every ingredient and vegan flag side by side on one vector."""
     train, test = _food_rows(t)
-    labelled = heads.binary_relevance(train, test, "y2", WIDTH, _label_head)
-    predicted = heads.parallel_heads({"food": "food", "vegan": "vegan"}).fit(train).transform(labelled)
-    return predicted.select("vec_id", "food_pred", joined(F.col("predicted")).alias("labels_pred"), "vegan_pred")
+    labelled = heads.label_heads(train, test, "y2", WIDTH, WIDTH, ["vec_id"])
+    predicted = heads.parallel_heads({"food": "food", "vegan": "vegan"}).fit(train).transform(test)
+    both = predicted.select("vec_id", "food_pred", "vegan_pred").join(labelled, "vec_id")
+    return both.select("vec_id", "food_pred", joined(F.col("predicted")).alias("labels_pred"), "vegan_pred")
 
 
 @query("stacked_heads")
 def stacked_heads(t):
     """Food class first; its scores help every ingredient, whose scores help the vegan flag."""
     train, test = _food_rows(t)
-    predicted = heads.stacked_heads(train, test, "food", "y2", WIDTH, "vegan", _label_head)
+    predicted = heads.stacked_heads(train, test, "food", "y2", WIDTH, "vegan", WIDTH, ["vec_id"])
     return predicted.select("vec_id", "first_pred", joined(F.col("predicted")).alias("labels_pred"), "last_pred")
 
 

@@ -65,6 +65,13 @@ def drop_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete one scratch path that nothing reads any more, before :func:`drop_scratch` would."""
+    _WRITTEN.remove(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative estimators cut their lineage in the checkpoint directory."""
     if spark.sparkContext.getCheckpointDir() is None:

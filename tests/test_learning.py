@@ -122,7 +122,7 @@ def test_topics(spark, reviews, optimizer, alpha, beta):
     words = topics.review_words(reviews, "review_id", "text", {"w": None})
     train = {r["review_id"] for r in data.train.collect()}
     known = {w for r in words.collect() if r["review_id"] in train for w in r["w"]}
-    assert set(data.vocabulary) == known
+    assert {r["term"] for r in data.vocabulary.collect()} == known and data.size == len(known)
     assert train.isdisjoint({r["review_id"] for r in data.test.collect()})
     model = topics.fit_topics(data.train, 2, alpha, beta, 3, optimizer)
     shares = model.transform(data.test).select(vector_to_array("topicDistribution").alias("s")).collect()
@@ -135,11 +135,13 @@ def test_topics(spark, reviews, optimizer, alpha, beta):
 def test_parameter_runs(spark, reviews):
     data = topics.topic_input(reviews, "review_id", "text", kind=None)
     params = spark.createDataFrame([(2, 0.1, 0.1, 3, 1), (1, 0.5, 0.2, 2, 2)], "runid int, alpha double, beta double, k int, iterations int")
-    stats, found = topics.parameter_runs(data, params, "online")
+    stats, found = topics.parameter_runs(data, params, ["online"])
     rows = stats.collect()
     assert [(r["runid"], r["k"], r["iterations"]) for r in rows] == [(1, 2, 2), (2, 3, 1)]
-    assert all(r["executiontime"] > 0 and r["vocablength"] == len(data.vocabulary) for r in rows)
+    assert all(r["executiontime"] > 0 and r["vocablength"] == data.size for r in rows)
     assert Counter(r["runid"] for r in found.collect()) == {1: 2, 2: 3}
+    with pytest.raises(TypeError):
+        topics.parameter_runs(data, params, "online")
 
 
 def test_rating_features_and_regression(reviews):
@@ -174,10 +176,15 @@ def test_binary_relevance_with_constant_labels(spark):
 
 
 def test_stacked_heads_see_the_scores_before(spark):
-    rows = [([float(i)], float(i > 5), float(i > 5)) for i in range(12)]
-    df = spark.createDataFrame(rows, "v array<double>, a double, b double").withColumn("features", array_to_vector("v"))
-    out = heads.stacked_heads([("a", "a"), ("b", "b")]).fit(df).transform(df).collect()
-    assert len(out[0]["b_input"]) == 3 and all(r["b_pred"] == r["b"] for r in out)
+    dice = random.Random(2)
+    rows = []
+    for i in range(200):
+        x = [dice.gauss(0, 1), dice.gauss(0, 1)]
+        rows.append((i, x, float(x[0] > 0) + float(x[0] > 1), [int(x[1] > 0), int(x[0] > 1), 1], float(x[0] + x[1] > 0)))
+    df = spark.createDataFrame(rows, "id int, v array<double>, a double, y array<int>, b double").withColumn("features", array_to_vector("v"))
+    out = heads.stacked_heads(df, df, "a", "y", 3, "b", 2, ["id", "y", "a", "b"]).collect()
+    assert len(out) == 200 and out[0].__fields__ == ["id", "y", "a", "b", "first_pred", "predicted", "last_pred"]
+    assert sum(r["predicted"] == r["y"] for r in out) >= 190 and sum(r["last_pred"] == r["b"] for r in out) >= 190
 
 
 def test_context_rows(spark):
