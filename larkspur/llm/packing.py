@@ -30,7 +30,7 @@ from larkspur.session import materialize
 
 WINDOW = 1024  # tokens of a sequence
 END_ID = 0  # closes every document
-KNOWN_PIECES = 800_000  # pieces of text whose ids a worker remembers
+KNOWN_BYTES = 96 << 20  # pieces of text and their ids that a worker remembers
 SLICE_BYTES = 1 << 20
 CELLS = 1 << 20  # numbers of (round, queue) that a task holds at a time
 
@@ -72,6 +72,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.held = 0
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         splitter = str(self.tokenizer.pre_tokenizer)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -87,20 +88,25 @@ class Encoder:
     def _learn(self, pieces: set[str]) -> None:
         whole = [p for p in pieces if not (self.direct and _plain(p))]
         for piece, found in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, self.kind).tobytes()
+            self._keep(piece, np.array(found.ids, self.kind).tobytes())
         model, letters = self.tokenizer.model, self.letters
         code = "H" if self.kind == "<u2" else "I"
         for piece in pieces.difference(whole):
             tokens = model.tokenize(piece.encode().decode("latin-1").translate(letters))
-            self.known[piece] = array(code, [t.id for t in tokens]).tobytes()
+            self._keep(piece, array(code, [t.id for t in tokens]).tobytes())
+
+    def _keep(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.held += 180 + 2 * len(piece) + len(ids)  # with the two objects and their entry
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text as little-endian numbers of ``kind``."""
         split = [text_pieces(t) for t in texts]
         every = set().union(*split)
         new = every.difference(self.known)
-        if len(self.known) + len(new) > KNOWN_PIECES:
+        if self.held > KNOWN_BYTES:
             self.known.clear()
+            self.held = 0
             new = every
         if self.direct:
             # a word and the signs behind it are encoded apart
@@ -113,7 +119,7 @@ class Encoder:
             self._learn((new - parted.keys() | parts) - self.known.keys())
             known = self.known
             for piece, (core, signs) in parted.items():
-                known[piece] = known[core] + known[signs]
+                self._keep(piece, known[core] + known[signs])
         else:
             self._learn(new)
         return [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
