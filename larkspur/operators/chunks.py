@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.operators.ranks import quantiles_by_counting
 from larkspur.session import materialize
 
 POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the low bits
@@ -136,5 +137,8 @@ def quantiles_of_counts(
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
 ) -> DataFrame:
-    """Exact interpolated quantiles per key as (keys, prob, quantile) rows."""
+    """Exact interpolated quantiles per key as (keys, prob, quantile) rows; without keys by counting, now."""
+    if not keys:
+        found = quantiles_by_counting(df, value, probs)
+        return df.sparkSession.createDataFrame(found, "prob double, quantile double")
     return quantiles_of_counts(value_counts(df, keys, value), keys, probs)

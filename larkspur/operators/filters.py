@@ -7,13 +7,17 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.operators.chunks import exact_quantiles
+from larkspur.operators.ranks import quantiles_by_counting
 
 
 def near_median(df: DataFrame, column: str, distance: float) -> DataFrame:
-    """Rows whose value lies less than ``distance`` from the exact median."""
-    median = exact_quantiles(df, [], column, [0.5]).select("quantile")
-    return df.filter(F.abs(F.col(column) - median.scalar()) < distance)
+    """Rows whose value lies less than ``distance`` from the exact median; none if there are no values.
+
+    The median is looked for now, and ``df`` is read a few times for it.
+    """
+    found = quantiles_by_counting(df, column, [0.5])
+    median = F.lit(found[0][1] if found else None).cast("double")
+    return df.filter(F.abs(F.col(column) - median) < distance)
 
 
 def _month_start(text: str) -> dt.date:
