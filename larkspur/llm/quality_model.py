@@ -17,13 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.bytetext import SLICE_BYTES, Words, hash_runs, mix64, utf8
+from larkspur.llm.bytetext import Words, hash_runs, mix64, utf8
 from larkspur.llm.registry import query, table
 
 BITS = 18  # 2 ** BITS weights; the first is the bias
 MAX_TRAINING = 32_768  # labelled rows that a model is fitted on, about; more are sampled by hash
 SHARD_ROWS = 4_096  # training rows of a shard, about; their number sets that of the shards
 EPOCHS = 8
+SLICE_BYTES = 1 << 20  # text handled at once; its words take some fifty times as much
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.05, 0.01
 
 
@@ -94,6 +95,7 @@ def fit_shard(rows: list[tuple[float, np.ndarray, np.ndarray]], bits: int = BITS
     for _ in range(EPOCHS):
         for i in shuffle.permutation(len(rows)):
             label, at, x = rows[i]
+            x = x.astype(np.float64)  # narrow until it is used
             w = _leader(z[at], n[at])
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA * w
@@ -134,7 +136,7 @@ def fit_quality(labelled: DataFrame, order: str, text: str = "text", label: str
         """Of about SHARD_ROWS rows."""
         shard = shard.assign(_b=shard["buckets"]).sort_values(["place", "label", "_b"])
         data = [
-            (y, np.frombuffer(b, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(np.float64))
+            (y, np.frombuffer(b, "<i4"), np.frombuffer(v, "<f4"))
             for y, b, v in zip(shard["label"], shard["buckets"], shard["nums"])
         ]
         w = fit_shard(data, bits)
