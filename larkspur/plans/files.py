@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from larkspur.functions import text as tx
 from larkspur.functions.arrays import each, joined
 from larkspur.operators.chunks import with_ordinal
+from larkspur.operators.segments import collect_segments
 from larkspur.operators.grouping import collect_parts, keep_first
 from larkspur.plans.aggregates import PLAIN_SQL, SENTENCE_SQL
 from larkspur.plans.registry import query
@@ -99,6 +100,21 @@ def scan_token_labels(t):
     return with_ordinal(lines, ["file"], ["piece", "chunk", "pos"], "line").select("file", "line", "word", "label")
 
 
+@query("segment_tokens", f"""
+    WITH lines AS (SELECT source AS file, row_number() OVER (PARTITION BY source ORDER BY doc_id, s_no, i) AS line, word,
+                          CASE WHEN {LEXICON_TEST} THEN 'B-OTH' ELSE 'O' END AS label FROM ({TOKENS_SQL})),
+    numbered AS (SELECT *, CAST(sum(CASE WHEN word = 'sentence_start' THEN 1 ELSE 0 END)
+                                OVER (PARTITION BY file ORDER BY line ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sentence FROM lines)
+    SELECT file, sentence, CAST(0 AS BIGINT) AS part, count(*) AS n, string_agg(word, ' ' ORDER BY line) AS words,
+           string_agg(label, ' ' ORDER BY line) AS labels FROM numbered GROUP BY 1, 2""")
+def segment_tokens(t):
+    """Sentences of the token files: ordered (word, label) rows cut where one is the marker of a beginning."""
+    rows = scan_token_labels(t)
+    found = collect_segments(rows, ["file"], ["line"], F.col("word") == tx.MARKER, ["word", "label"], "sentence")
+    each_of = lambda name: F.array_join(F.transform("values", lambda v: v[name]), " ")
+    return found.select("file", "sentence", "part", "n", each_of("word").alias("words"), each_of("label").alias("labels"))
+
+
 @query("sink_token_files", f"""
     SELECT source AS file, word, CASE WHEN {LEXICON_TEST} THEN 'B-OTH' ELSE 'O' END AS label, count(*) AS n
     FROM ({TOKENS_SQL}) GROUP BY 1, 2, 3""")
