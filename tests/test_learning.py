@@ -7,11 +7,13 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
+from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from larkspur.learning import heads, metrics, ratings, terms, topics
+from larkspur.learning.em_topics import EmTopics
 from larkspur.plans import models
 
 
@@ -132,6 +134,34 @@ def test_topics(spark, reviews, optimizer, alpha, beta):
     assert all(math.isfinite(v) for v in topics.topic_stats(model, data).values())
 
 
+def test_em_topics_are_those_of_the_library_without_its_graph(spark, reviews):
+    data = topics.topic_input(reviews, "review_id", "text", kind=None)
+    ours = topics.fit_topics(data.train, 3, 3.0, 1.1, 12, "em")
+    assert isinstance(ours, EmTopics)
+    library = LDA(k=3, maxIter=12, optimizer="em", docConcentration=[3.0], topicConcentration=1.1, seed=topics.SEED).fit(data.train)
+    counts = {r["idx"]: r["counts"] for r in ours.counts.collect()}
+    want = library.topicsMatrix().toArray()
+    assert sorted(counts) == list(range(len(want)))
+    assert all(counts[i] == pytest.approx(list(want[i]), abs=1e-4, rel=1e-4) for i in counts)
+    assert ours.trainingLogLikelihood() == pytest.approx(library.trainingLogLikelihood(), rel=1e-5)
+    for part in (data.train, data.test):
+        assert ours.logLikelihood(part) == pytest.approx(library.logLikelihood(part), rel=1e-3)
+        share = lambda m: [r["s"] for r in m.transform(part).orderBy("review_id").select(vector_to_array("topicDistribution").alias("s")).collect()]
+        for a, b in zip(share(ours), share(library), strict=True):
+            assert a == pytest.approx(b, abs=2e-3)
+    stats = topics.topic_stats(ours, data)
+    assert stats["testperplexity"] == pytest.approx(library.logPerplexity(data.test), rel=1e-3)
+    tops = lambda m: {r["topic"]: r["termWeights"] for r in m.describeTopics(3).collect()}
+    assert all(tops(ours)[k] == pytest.approx(v, abs=1e-4) for k, v in tops(library).items())
+
+
+def test_em_topics_of_vectors_alone(spark, reviews):
+    data = topics.topic_input(reviews, "review_id", "text", kind=None)
+    whole = topics.fit_topics(data.train, 2, 3.0, 1.1, 4, "em")
+    plain = topics.fit_topics(data.train.select("features"), 2, 3.0, 1.1, 4, "em")
+    assert plain.totals == pytest.approx(whole.totals)
+
+
 def test_parameter_runs(spark, reviews):
     data = topics.topic_input(reviews, "review_id", "text", kind=None)
     params = spark.createDataFrame([(2, 0.1, 0.1, 3, 1), (1, 0.5, 0.2, 2, 2)], "runid int, alpha double, beta double, k int, iterations int")
