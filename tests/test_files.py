@@ -58,6 +58,16 @@ def test_text_folder_and_label_files(spark, tmp_path):
     assert [(r["idx"], r["value"]) for r in listed] == [(0, "10"), (1, "20"), (3, "30")]
 
 
+def test_numbered_lines_are_not_shuffled(spark, tmp_path):
+    rows = [(f, i, f"{f}{i}", "O") for f in "ab" for i in range(500)] + [(None, 0, "lost", "O")]
+    df = spark.createDataFrame(rows, "file string, at int, word string, label string")
+    sink.write_token_files(df, str(tmp_path / "n"), "file", ["at"], max_lines=7)
+    got = scan.read_numbered_tokens(spark, str(tmp_path / "n"), "file")
+    assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    found = sorted((r["file"], r["line"], r["word"], r["label"]) for r in got.collect())
+    assert found == [(f, i + 1, f"{f}{i}", "O") for f in "ab" for i in range(500)]
+
+
 def test_token_files_keep_line_order_over_pieces(spark, tmp_path):
     rows = [("hot", 1, i, f"w{i}", "O") for i in range(500)] + [("b", 1, 0, "salt", "B-OTH")]
     df = spark.createDataFrame(rows, "file string, doc int, pos int, word string, label string").repartition(6)
