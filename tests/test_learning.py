@@ -39,6 +39,36 @@ def test_counts_and_vocabulary(corpus):
     assert [r["term"] for r in terms.fit_vocabulary(counts, size=3).orderBy("idx").collect()] == order[:3]
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_counted_in_their_row_and_over_rows_of_one_document(spark):
+    rows = [(1, ["a", "a", None, "b"]), (2, ["b"]), (2, ["b", "c"]), (None, ["x"]), (None, ["x", "y"]), (3, []), (4, None)]
+    got = terms.term_counts(spark.createDataFrame(rows, "doc int, tokens array<string>"), "doc", "tokens")
+    found = {(r["doc"], r["term"]): r["tf"] for r in got.collect()}
+    assert got.count() == len(found)
+    assert found == {(1, "a"): 2, (1, "b"): 1, (2, "b"): 2, (2, "c"): 1, (None, "x"): 2, (None, "y"): 1}
+    assert got.schema["tf"].dataType.simpleString() == "bigint"
+
+
+def test_classes_come_to_the_weights_where_these_lie(spark, corpus):
+    _, df = corpus
+    weights = terms.unit_length(terms.with_idf(terms.term_counts(df, "doc", "tokens"), df, smooth=True), "doc")
+    labels = df.select("doc", "label").union(df.filter("doc < 9").select("doc", "label"))  # some twice
+    scores = lambda w: {r["term"]: r["chi2"] for r in terms.chi2_scores(w, labels, "doc", "label").collect()}
+    held = terms.with_classes(weights, labels.hint("shuffle_merge"), "doc", "label")
+    joined = held.count(), weights.count()
+    assert joined[0] == joined[1] and _plan(held).count("Window [") == 1
+    plain, want = weights.join(labels, "doc"), defaultdict(float)
+    for r in plain.collect():
+        want[(r["term"], r["label"])] += r["weight"]
+    cells = held.select("term", "weight", F.inline("classes")).groupBy("term", "label").agg(F.sum(F.col("weight") * F.col("rows")).alias("o"))
+    got = {(r["term"], r["label"]): r["o"] for r in cells.collect()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(v) for k, v in want.items())
+    assert scores(held) == pytest.approx(scores(weights))
+
+
 def test_idf_equals_the_library(corpus):
     _, df = corpus
     counts = terms.term_counts(df, "doc", "tokens")
