@@ -96,16 +96,21 @@ CHI2_SQL = _chi2_sql()
            row_number() OVER (ORDER BY chi2 DESC, term) AS rank FROM chi QUALIFY rank <= 500""")
 def chi2_select(t):
     """The 500 terms that tell the star classes apart best, with prefixed names."""
-    weights = materialize(unit_weights(t), "tfidf")
-    scores = terms.chi2_scores(weights, t.reviews.select("review_id", "stars"), "review_id", "stars")
+    classes = t.reviews.select("review_id", "stars")
+    weights = terms.with_classes(unit_weights(t), classes, "review_id", "stars")
+    scores = terms.chi2_scores(weights, classes, "review_id", "stars")
     best = terms.k_best(scores, 500)
     return best.select(F.concat(F.lit("body_"), "term").alias("feature"), F.round("chi2", 4).alias("chi2"), "rank")
 
 
-def chi2_ranks(t, weights, k, fit_on="all"):
-    """The ``k`` best terms, by all reviews or by the training part."""
+def star_classes(t, fit_on="all"):
     classes = t.reviews.select("review_id", "stars")
-    classes = classes.filter(in_train()) if fit_on == "train" else classes
+    return classes.filter(in_train()) if fit_on == "train" else classes
+
+
+def chi2_ranks(t, weights, k, fit_on="all"):
+    """The ``k`` best terms, by all reviews or by the training part; ``weights`` hold the classes of that part."""
+    classes = star_classes(t, fit_on)
     scores = terms.chi2_scores(weights, classes, "review_id", "stars")
     return materialize(terms.k_best(scores, k), "ranks")
 
@@ -146,7 +151,8 @@ def chi2_k_sweep(t):
     and the blocks add up to the score of each size.
     """
     reviews = t.reviews.select("review_id", "stars")
-    weights = materialize(unit_weights(t, "train"), "tfidf")
+    classes = star_classes(t, "train")
+    weights = materialize(terms.with_classes(unit_weights(t, "train"), classes, "review_id", "stars"), "tfidf")
     chosen = chi2_ranks(t, weights, SWEEP[-1], "train")
     ranks = F.broadcast(chosen.select("term", "rank"))  # 700 rows
     picked = weights.join(ranks, "term", "left_semi")
@@ -308,7 +314,7 @@ def tag_by_lexicon(t):
     listed = each(t.read("benchmark"), [], tx.plain_words(F.col("text")), "value").filter(F.length("value") >= 6)
     listed.distinct().write.text(path)
     lexicon = scan.read_reference_list(t.spark, path)
-    tokens = materialize(each(t.documents, ["doc_id"], tx.sentence_tokens(F.col("text")), "word", "pos"), "tokens")
+    tokens = each(t.documents, ["doc_id"], tx.sentence_tokens(F.col("text")), "word", "pos")  # made anew by each pass: no copy of them is written
     hits = materialize(containing_words(tokens, "word", lexicon, "value").withColumn("_hit", F.lit(True)), "hits")
     label = F.when(F.col("_hit"), tx.ENTITY).otherwise(tx.OTHER).alias("label")
     return skew_join(tokens, hits, ["word"], "left").select("doc_id", "pos", "word", label)
