@@ -55,6 +55,18 @@ def write_token_files(
     )
 
 
+def write_text_parts(df: DataFrame, path: str, folder: str, part: str, text: str, most: int = 256) -> None:
+    """Texts of a folder as numbered lines, ``most`` parts to a file; ``read_text_parts`` gives them back.
+
+    A line has the part's number and its text, in which backslashes and line breaks are written as two characters. So the
+    number of files, which the driver lists, follows from the folders and the size, not from the parts.
+    """
+    plain = F.replace(F.replace(F.col(text), F.lit("\\"), F.lit("\\s")), F.lit("\n"), F.lit("\\n"))
+    rows = df.repartition(F.col(folder), F.floor(F.col(part) / most))
+    lines = rows.select(folder, F.concat_ws(" ", F.col(part).cast("string"), plain).alias("value"))
+    lines.write.partitionBy(folder).option("maxRecordsPerFile", most).text(path)
+
+
 def write_chunked(df: DataFrame, path: str, rows: int = 5000) -> None:
     """Parquet files of at most ``rows`` rows."""
     df.write.option("maxRecordsPerFile", rows).parquet(path)

@@ -149,3 +149,15 @@ def test_empty_inputs(spark, tmp_path, size):
     df = spark.range(size).select(F.col("id").alias("runid"), F.lit("x").alias("v"))
     sink.write_run_stats(df, str(tmp_path / "s"))
     assert scan.read_csv(spark, str(tmp_path / "s"), "runid bigint, v string").count() == size
+
+
+def test_parts_of_a_text_share_files(spark, tmp_path):
+    odd = ["", "one\ntwo", "\n", "back\\slash \\n \\s \\\\", "\\", "ends\n", " blanks  ", "\r\n\ttab", "5 first", "é \u2028 \x0b"]
+    rows = [(k, i, odd[(i + j) % len(odd)]) for j, k in enumerate(["a", "b/c d", None]) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, part long, text string").repartition(7)
+    path = str(tmp_path / "parts")
+    sink.write_text_parts(df, path, "k", "part", "text", most=10)
+    got = scan.read_text_parts(spark, path).select("k", "part", "content").collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted(rows, key=str)
+    files = [f for f in (tmp_path / "parts").rglob("*.txt")]
+    assert 3 <= len(files) <= 18 and all(len(f.read_bytes().split(b"\n")) <= 11 for f in files)
