@@ -228,3 +228,42 @@ def test_cached_pieces_have_the_same_ids(text):
 def test_tail_is_not_padded():
     assert packing.tail_cuts(1024 + 700) == [1024 + 512, 1024 + 640, 1024 + 672, 1024 + 688, 1024 + 696, 1024 + 700]
     assert packing.tail_cuts(2048) == [] and packing.tail_cuts(0) == []
+
+
+@pytest.mark.parametrize("shares", [None, "equal", "other"])
+def test_rounds_are_found_in_few_steps(shares, monkeypatch):
+    pick = np.random.default_rng(5)
+    queues = pick.integers(1_000_000, 90_000_000, 20)
+    share = {None: queues / queues.sum(), "equal": np.full(20, 0.05), "other": (np.arange(20) + 1) / 210}[shares]
+    rounds = packing.Rounds(queues.tolist(), share.tolist(), 1024, 1024)
+    r = np.unique(np.concatenate([pick.integers(1, rounds.whole, 2000), [1, 2, rounds.whole - 1, rounds.whole]]))
+    asked, due = [], rounds._due
+    monkeypatch.setattr(rounds, "_due", lambda time: asked.append(len(time)) or due(time))
+    given = rounds.given(r)
+    assert sum(asked) < (45 if shares == "equal" else 20) * len(r)  # queues of one share have tokens due together
+    low, high = np.zeros(len(r), np.int64), np.full(len(r), rounds.latest)
+    for _ in range(64):  # the last float at which no more are due than wanted
+        middle = low + (high - low) // 2
+        more = due(middle.view(np.float64)).sum(1) > rounds.ends(r)
+        low, high = np.where(more, low, middle), np.where(more, middle, high)
+    before, after = due(low.view(np.float64)), due(high.view(np.float64))
+    rest = rounds.ends(r) - before.sum(1)
+    for k in range(20):
+        took = np.clip(rest, 0, after[:, k] - before[:, k])
+        assert (given[:, k] == before[:, k] + took).all()
+        rest = rest - took
+
+
+def test_runs_are_cut_at_the_ends_of_sequences():
+    pick = random.Random(8)
+    for total, window in ((1000, 64), (960, 64), (31, 32), (5, 1), (64, 32)):
+        tail = packing.tail_cuts(total, window)
+        ends = [*range(window, total - total % window + 1, window), *tail]
+        cuts = sorted({0, total, *(pick.randrange(total) for _ in range(12))})
+        got = list(zip(*(x.tolist() for x in packing.cut_places(np.array(cuts[:-1]), np.array(cuts[1:]), total - total % window, tail, window))))
+        want = []
+        for run, (low, high) in enumerate(zip(cuts, cuts[1:])):
+            for sequence, (b, e) in enumerate(zip([0, *ends], ends)):
+                if max(b, low) < min(e, high):
+                    want.append((run, sequence, b, max(b, low), min(e, high)))
+        assert got == want
