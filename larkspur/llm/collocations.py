@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,8 +92,42 @@ def _pairs(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return at[next_to], grams[next_to] << 32 | grams[next_to + 1]
 
 
-def first_relation(words: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Occurrences of frequent words: each slice's words semi-joined with (lang, word, id)."""
+def first_relation(words: DataFrame, frequent: DataFrame, small_table: int = SMALL_TABLE) -> DataFrame:
+    """Occurrences of frequent words: each slice's words semi-joined with (lang, word, id).
+
+    Up to ``small_table`` frequent words are sent to every task and looked up there; of more, those of a slice are found by a join.
+    """
+    schema = "slice long, size long, mask binary, grams binary"
+
+    def relation(name: int, codes: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        grams = ids[codes]  # the last is that of ends
+        at = np.flatnonzero(grams >= 0)
+        return _packed(name, at, grams[at], len(codes))
+
+    if frequent.limit(small_table + 1).count() <= small_table:
+        held = frequent.select("lang", "word", "id").toArrow()
+        known = {}
+        for lang in pc.unique(held.column("lang")).to_pylist():
+            own = held.filter(pc.equal(held.column("lang"), lang))
+            known[lang] = own.column("word").cast(pa.string()).combine_chunks(), own.column("id").to_numpy()
+        sent = words.sparkSession.sparkContext.broadcast(known)
+
+        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                name, lang, local, codes = (batch.column(j) for j in range(4))
+                for i in range(batch.num_rows):
+                    some, ids = sent.value.get(lang[i].as_py(), (None, None))
+                    if some is None:
+                        continue
+                    place = pc.index_in(local[i].values.cast(pa.string()), value_set=some)
+                    found = place.is_valid().to_numpy(zero_copy_only=False)
+                    if found.any():
+                        own = np.full(len(found) + 1, -1, np.int64)
+                        own[:-1][found] = ids[place.drop_null().to_numpy()]
+                        yield relation(name[i].as_py(), np.frombuffer(codes[i].as_buffer(), np.int32), own)
+
+        return materialize(words.select("slice", "lang", "words", "codes").mapInArrow(look, schema), "grams")
+
     local = words.select("slice", "lang", F.posexplode("words").alias("code", "word"))
     met = skew_join(local, frequent, ["lang", "word"]).groupBy("slice")
     own = met.agg(F.collect_list("code").alias("code"), F.collect_list("id").alias("id"))
@@ -102,14 +137,12 @@ def first_relation(words: DataFrame, frequent: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 codes = np.frombuffer(row["codes"], np.int32)
-                ids = np.full(int(codes.max(initial=-1)) + 2, -1, np.int64)  # the last is that of ends
+                ids = np.full(int(codes.max(initial=-1)) + 2, -1, np.int64)
                 ids[np.array(row["code"])] = row["id"]
-                grams = ids[codes]
-                at = np.flatnonzero(grams >= 0)
-                yield _packed(row["slice"], at, grams[at], len(codes))
+                yield relation(row["slice"], codes, ids)
 
     joined = words.select("slice", "codes").join(own, "slice")
-    return materialize(joined.mapInArrow(run, "slice long, size long, mask binary, grams binary"), "grams")
+    return materialize(joined.mapInArrow(run, schema), "grams")
 
 
 def count_pairs(relation: DataFrame) -> DataFrame:
@@ -185,7 +218,7 @@ def collocations(
         .filter(F.col("a") >= least)
     )
     frequent = _numbered(counted, ["lang", "word"])
-    relation = first_relation(words, frequent.select("lang", "word", "id"))
+    relation = first_relation(words, frequent.select("lang", "word", "id"), small_table)
     none = F.array().cast("array<bigint>")
     phrases = frequent.select("id", "lang", F.array("word").alias("words"), "a", none.alias("ls"), none.alias("rs"))
     found = None

@@ -69,6 +69,21 @@ def test_phrases_equal_a_plain_count(spark, least, longest, top, small, monkeypa
     assert sorted(tuple(r) for r in got.collect()) == best_phrases(rows, least, longest, top)
 
 
+def test_frequent_words_are_found_by_either_way(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE_BYTES", 300)
+    docs = spark.createDataFrame(prose(7) + [("", "de"), (None, None), ("nowhere else", "fr")], "text string, lang string").repartition(3)
+    words = collocations.word_occurrences(docs, "text", "lang")
+    frequent = [("en", "york", 3), ("en", "éclair", 0), ("und", "york", 5), ("", "sun", 7), ("xx", "of", 2)]
+    frequent = spark.createDataFrame(frequent, "lang string, word string, id long")
+    joined = sorted(tuple(r) for r in collocations.first_relation(words, frequent, 0).collect())
+    # the rows that a join makes of them grow with the words that become frequent, so few are looked up in place
+    monkeypatch.setattr(collocations, "skew_join", None)
+    found = sorted(tuple(r) for r in collocations.first_relation(words, frequent, 10).collect())
+    assert found == joined and joined
+    empty = collocations.first_relation(words, frequent.filter("false"), 10)
+    assert empty.count() == 0
+
+
 def test_phrases_of_odd_rows(spark):
     rows = [(r[1], r[2]) for r in odd_rows()]
     got = collocations.collocations(odd_docs(spark), least=3)
