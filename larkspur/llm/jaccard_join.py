@@ -26,6 +26,7 @@ from larkspur.llm.registry import query, table
 from larkspur.operators.skew import skew_join
 from larkspur.session import materialize
 
+SLICE_BYTES = 1 << 20  # of text whose sets a task holds at once; a worker keeps what its largest slice took
 COUNTER_BITS = 20  # counters of token frequency; they only order tokens
 CHUNK = 1 << 14  # counters sent as one record
 FILTER_BITS = 24  # of the filter that tells which sets to write down
@@ -181,7 +182,7 @@ def _scan(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
         counts, kind = np.zeros(1 << COUNTER_BITS, np.int64), None
         for batch in batches:
             kind = batch.column(0).type
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 sets = Sets(part.column(1), size)
                 for s in sets.of:
                     counts[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] += 1
@@ -227,7 +228,7 @@ def _signatures(docs: DataFrame, text: str, size: int, percent: int, frequency)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = frequency.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 sets = Sets(part.column(0), size)
                 seen: dict[bytes, tuple] = {}
                 for s, name in zip(sets.of, sets.names()):
@@ -269,7 +270,7 @@ def _written_sets(docs: DataFrame, text: str, size: int, wanted: DataFrame) -> D
         marked = np.unpackbits(bits.value)
         done: set[bytes] = set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 sets = Sets(part.column(0), size)
                 names, tokens = [], []
                 for s, name in zip(sets.of, sets.names()):

@@ -355,3 +355,14 @@ def test_components_by_stars(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: root[x] for x in linked}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_are_made_slice_by_slice(spark, monkeypatch):
+    assert jaccard_join.SLICE_BYTES <= 1 << 20  # what a worker took for its largest slice it keeps
+    base = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, base + f" end{i % 3}") for i in range(9)] + [(20, base + " " + base), (21, None), (22, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    whole = sorted(tuple(r) for r in jaccard_join.near_duplicates(docs).collect())
+    monkeypatch.setattr(jaccard_join, "SLICE_BYTES", 100)
+    assert sorted(tuple(r) for r in jaccard_join.near_duplicates(docs).collect()) == whole
+    assert {c for k, _, c in whole if k < 9} == {0}
