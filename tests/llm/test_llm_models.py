@@ -222,6 +222,58 @@ def test_base_scores_are_exact(spark, monkeypatch, frequent, least):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
+def backed_off_scores(rows, least):
+    """Log10 probability of each (key, text), by dictionaries of all n-grams."""
+    tokens = [(r[0], r[1], [*words(lower(r[1])), None]) for r in rows]
+    train = [t for k, _, t in tokens if k is None or crc(k, 10) != 0]
+    c = Counter(w for t in train for w in t)
+    total, types = sum(c.values()), len(c)
+    own = {w for w in c if w is not None and c[w] >= max(2, least * total)}
+    classed = lambda t: [w if w is None or w in own else "" for w in t]
+    follow, two, three = Counter(), defaultdict(Counter), defaultdict(Counter)
+    for t in map(classed, train):
+        follow.update(t)
+        for i, w in enumerate(t):
+            two[t[i - 1] if i else 0][w] += 1
+            if i:
+                three[t[i - 2] if i > 1 else 0, t[i - 1]][w] += 1
+    mass = total + 0.1 * (len(own) + 2)
+    p1 = lambda w: (follow[w] + 0.1) / mass
+
+    def backed(n, lower_p, w):
+        kept = {x: max(k - 0.75, 0.1875) / sum(n.values()) for x, k in n.items()}
+        rest = 1 - sum(lower_p(x) for x in kept)
+        if kept and rest < 1e-9:
+            return kept[w] / sum(kept.values())
+        return kept[w] if w in kept else (1 - sum(kept.values())) / rest * lower_p(w) if kept else lower_p(w)
+
+    p2 = lambda v, w: backed(two[v], p1, w)
+    other = math.log10(follow[""] + 0.1 * (types - len(own) - 1 + 1))
+    for key, text, plain in tokens:
+        t = classed(plain)
+        chain = [p2(0, t[0]), *(backed(three[t[i - 2] if i > 1 else 0, t[i - 1]], lambda x, i=i: p2(t[i - 1], x), t[i]) for i in range(1, len(t)))]
+        yield key, sum(map(math.log10, chain)) + sum(math.log10(c[w] + 0.1) - other for w, k in zip(plain, t) if k == "")
+
+
+@pytest.mark.parametrize("gram, tokens", [(0, 4_000_000), (0.01, 100), (1, 7)])
+def test_no_n_gram_is_left_to_the_back_off(spark, monkeypatch, gram, tokens):
+    monkeypatch.setattr(lm_score, "CLASS", 0.02)
+    monkeypatch.setattr(lm_score, "FREQUENT", 0.01)
+    monkeypatch.setattr(lm_score, "GRAM", gram)  # the shards look up what is rarer
+    monkeypatch.setattr(lm_score, "SHARD_TOKENS", tokens)
+    some = random.Random(7)
+    rows = [(i, " ".join(some.choice("a A b c d e f3 ,g hh é".split()) * some.choice([1, 1, 1, 2]) for _ in range(some.randrange(30)))) for i in range(90)]
+    rows += [(i, f"a rare{i} b a", ) for i in range(90, 120)] + [(3, "a b a b"), (3, "a b a b"), (None, "b a"), (120, None), (121, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows = [(k, t or "") for k, t in rows]
+    want = Counter((k, round(x, 3)) for k, x in backed_off_scores(rows, 0.02))
+    near = Counter((r["doc_id"], round(r["score"], 3)) for r in lm_score.score_texts(docs).collect())
+    key = lambda e: (e[0] is None, e[0] or 0, e[1])
+    found, wanted = sorted(near.elements(), key=key), sorted(want.elements(), key=key)
+    assert [k for k, _ in found] == [k for k, _ in wanted]
+    assert [x for _, x in found] == pytest.approx([x for _, x in wanted], abs=3e-3)
+
+
 def test_model_without_training_or_rows(spark):
     assert lm_score.score_texts(no_docs(spark)).count() == 0
     held = [r for r in [(i, "a b a", None, None, 0, *["x"] * 9) for i in range(60)] if crc(r[0], 10) == 0]
