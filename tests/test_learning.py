@@ -6,13 +6,14 @@ from collections import Counter, defaultdict
 from types import SimpleNamespace
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import IDF, CountVectorizer
+from pyspark.ml.feature import IDF, CountVectorizer, FeatureHasher
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from larkspur.learning import heads, metrics, ratings, terms, topics
+from larkspur.learning import heads, logistic, metrics, ratings, terms, topics
 from larkspur.learning.em_topics import EmTopics
 from larkspur.plans import models
 
@@ -253,6 +254,61 @@ def test_context_rows(spark):
     assert [tuple(r) for r in got] == [(1, "", "x", "y", 0.0), (1, "x", "y", "", 1.0)]
 
 
+@pytest.fixture(scope="module")
+def contexts(spark):
+    dice, rows = random.Random(4), []
+    words = [*(f"w{i}" for i in range(25)), "", None, "\u00e9t\u00e9", "x" * 200, "two words"]
+    for _ in range(600):
+        row = dice.choice(words), dice.choice(words), dice.choice(words)
+        rows.append((*row, float(dice.random() < (0.9 if (row[1] or "")[-1:] in "13" else 0.2)), float(dice.randint(1, 400))))
+    return spark.createDataFrame(rows, "previous string, word string, next string, label double, n double").repartition(3)
+
+
+@pytest.mark.parametrize("width", [16, 60, heads.HASHED])  # with few columns, words of one row meet in one
+def test_hashed_logistic_regression_is_that_of_mllib(contexts, width):
+    hasher = FeatureHasher(inputCols=heads.CONTEXT, outputCol="features", numFeatures=width)
+    stages = [hasher, LogisticRegression(maxIter=30, regParam=0.0001, weightCol="n")]
+    model = Pipeline(stages=stages).fit(contexts)
+    found = logistic.fit_hashed(contexts, heads.CONTEXT, width, "label", "n", 0.0001, 30)
+    assert found.losses == pytest.approx(model.stages[1].summary.objectiveHistory, rel=1e-9)
+    assert found.weights == pytest.approx(model.stages[1].coefficients.toArray(), abs=1e-6)
+    assert found.intercept == pytest.approx(model.stages[1].intercept, abs=1e-6)
+    order = [*heads.CONTEXT, "label", "n", "prediction"]
+    want = Counter(map(tuple, model.transform(contexts).select(order).collect()))
+    assert Counter(map(tuple, found.predict(contexts, *order[:-1]).collect())) == want
+
+
+def test_hashed_rows_are_made_once_and_held_in_few_bytes(spark, contexts):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    heads.fit_contexts(contexts.mapInArrow(count, contexts.schema), 3)
+    assert made.value == 600
+    words = contexts.na.fill("").withColumn("n", F.lit(1.0)).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(100))))
+    packed = logistic._packed(words.coalesce(1), "label", "n", heads.CONTEXT, heads.HASHED)
+    assert packed.map(len).sum() < 9 * 60_000
+
+
+def test_hashed_logistic_regression_of_one_label(contexts):
+    for label in (0.0, 1.0):
+        same = contexts.withColumn("label", F.lit(label))
+        assert {r[0] for r in heads.fit_contexts(same).predict(contexts, "n").select("prediction").collect()} == {label}
+    with pytest.raises(ValueError):
+        heads.fit_contexts(contexts.limit(0))
+
+
+def test_context_counts(spark):
+    rows = [(1, ["x", "y"]), (2, ["x", "y", None, "x"]), (3, []), (4, None), (5, ["x", "y"])]
+    df = spark.createDataFrame(rows, "doc int, tokens array<string>")
+    got = heads.context_counts(df, "doc", "tokens", lambda w: (w == "y").cast("double")).collect()
+    want = {("", "x", "y", 0.0): 3, ("x", "y", "", 1.0): 3, ("y", None, "x", None): 1, ("", "x", "", 0.0): 1}
+    assert {(r["previous"], r["word"], r["next"], r["label"]): r["n"] for r in got} == want
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), ("c", "b")], "y string, p string")
     report = {r["class"]: r for r in metrics.class_report(df, "y", "p").collect()}
