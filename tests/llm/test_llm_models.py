@@ -222,13 +222,13 @@ def test_base_scores_are_exact(spark, monkeypatch, frequent, least):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
-def backed_off_scores(rows, least):
+def backed_off_scores(rows, least, fewest=2):
     """Log10 probability of each (key, text), by dictionaries of all n-grams."""
     tokens = [(r[0], r[1], [*words(lower(r[1])), None]) for r in rows]
     train = [t for k, _, t in tokens if k is None or crc(k, 10) != 0]
     c = Counter(w for t in train for w in t)
     total, types = sum(c.values()), len(c)
-    own = {w for w in c if w is not None and c[w] >= max(2, least * total)}
+    own = {w for w in c if w is not None and c[w] >= max(fewest, least * total)}
     classed = lambda t: [w if w is None or w in own else "" for w in t]
     follow, two, three = Counter(), defaultdict(Counter), defaultdict(Counter)
     for t in map(classed, train):
@@ -274,6 +274,36 @@ def test_no_n_gram_is_left_to_the_back_off(spark, monkeypatch, gram, tokens):
     assert [x for _, x in found] == pytest.approx([x for _, x in wanted], abs=3e-3)
 
 
+def test_rare_words_have_n_grams_of_their_own(spark, monkeypatch):
+    """Scores are those of all words' n-grams, whatever is sent to the tasks and however the shards are cut."""
+    some = random.Random(5)
+    vocabulary = "a A b c d e f3 ,g hh é".split() + [f"rare{i}" for i in range(60)]
+    rows = [(i, " ".join(some.choice(vocabulary[: some.choice([4, 70])]) for _ in range(some.randrange(30)))) for i in range(90)]
+    rows += [(i, "one phrase of words met nowhere else") for i in range(90, 94)] + [(3, "a b a b"), (3, "a b a b"), (None, "b a"), (120, None), (121, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((k is None, k or 0, x) for k, x in backed_off_scores([(k, t or "") for k, t in rows], 0, 1))
+    for frequent, gram, tokens in ((5e-6, 1e-5, 2_000_000), (0.02, 0.002, 60), (1.1, 0, 7), (0.01, 1, 30)):
+        monkeypatch.setattr(lm_score, "FREQUENT", frequent)
+        monkeypatch.setattr(lm_score, "GRAM", gram)
+        monkeypatch.setattr(lm_score, "SHARD_TOKENS", tokens)
+        got = lm_score.score_texts(docs).collect()
+        check_base(got, [(k, t or "") for k, t in rows])
+        found = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in got)
+        assert [f[:2] for f in found] == [w[:2] for w in want]
+        assert [f[2] for f in found] == pytest.approx([w[2] for w in want], abs=3e-3)
+
+
+@pytest.mark.parametrize("others", [40, 1500])
+def test_a_phrase_is_known_whatever_the_size_of_the_corpus(spark, others):
+    some = random.Random(others)
+    phrase = [f"p{i}" for i in range(30)]
+    mixed = some.sample(phrase, 30)
+    rows = [(i, " ".join(phrase)) for i in range(20)] + [(i, " ".join(f"w{some.randrange(others)}" for _ in range(200))) for i in range(100, 100 + others)]
+    rows += [(-1, " ".join(mixed)), (-2, " ".join(phrase))]
+    got = {r["doc_id"]: r["score"] for r in lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[-2] > got[-1] + 10
+
+
 def test_model_without_training_or_rows(spark):
     assert lm_score.score_texts(no_docs(spark)).count() == 0
     held = [r for r in [(i, "a b a", None, None, 0, *["x"] * 9) for i in range(60)] if crc(r[0], 10) == 0]
