@@ -217,6 +217,31 @@ def test_rating_features_and_regression(reviews):
     assert summary["train_rmse"] == pytest.approx(summary["test_rmse"])
 
 
+def test_regression_summary_has_coefficients_and_writes_predictions(spark, monkeypatch, tmp_path):
+    rows = [(f"r{i}", "b", " ".join(["good", "bad", "fresh"][: i % 3 + 1]), float(i % 3 + 1)) for i in range(40)]
+    reviews = spark.createDataFrame(rows, "review_id string, business_id string, text string, stars double")
+    tables = SimpleNamespace(
+        spark=spark,
+        reviews=reviews,
+        business=spark.createDataFrame([("b", "Restaurants")], "business_id string, categories string"),
+    )
+
+    def features(reviews, key, text, label, kind):
+        size = F.size(F.split(text, " ")).cast("double")
+        return {"one": reviews.select(key, F.col(label).alias("label"), array_to_vector(F.array(size, F.lit(1.0))).alias("features"))}
+
+    monkeypatch.setattr(ratings, "KINDS", ("noun",))
+    monkeypatch.setattr(ratings, "rating_features", features)
+    monkeypatch.setattr(models, "scratch_path", lambda spark, name: str(tmp_path / name))
+    row = models.regression_summary(tables).first()
+    assert len(row["coefficients"]) == 2 and sum(c != 0 for c in row["coefficients"]) == row["used_features"] == 1
+    found = spark.read.json(str(tmp_path / "predictions_noun_one")).collect()
+    _, test = models.split_by_hash(reviews, "review_id", [80, 20], seed=1)
+    assert {r["review_id"] for r in found} == {r["review_id"] for r in test.collect()} and found
+    for r in found:
+        assert r["prediction"] == pytest.approx(row["intercept"] + row["coefficients"][0] * r["label"])
+
+
 def test_forest_of_binary_relevance_sees_words_beyond_the_commonest(spark):
     common = " ".join(f"filler{i}" for i in range(500))
     marks = " ".join(f"marker{i}" for i in range(600))
